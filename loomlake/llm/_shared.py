@@ -19,6 +19,12 @@ def use_shared_folder(spark: SparkSession) -> None:
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomlake-checkpoint-"))
 
 
+def shared_path(spark: SparkSession) -> str:
+    """The folder for files that driver and executors all see."""
+    use_shared_folder(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps survive a lost executor without recomputing."""
     use_shared_folder(df.sparkSession)
