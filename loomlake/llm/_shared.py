@@ -45,5 +45,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
             yield batch.slice(start)
 
 
+def fresh_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores behind it as keep it apart from the taken ones."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -161,7 +161,8 @@ def mixed(docs: DataFrame, take: float = TAKE, seed: int = SEED, weights: tuple[
     """The rows of ``docs``, all columns as they are, that one epoch takes whole or in part."""
     chosen = select(docs, take, 1, seed, weights).where("epochs > 0")
     ids = chosen.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.xxhash64("text") == F.col("key_")), "left_semi")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    return rows.join(ids, F.col("id").eqNullSafe(F.col("id_")) & (F.col("key") == F.col("key_")), "left_semi").select("row.*")
 
 
 def op5_budget_mix(spark, sf_dir: str) -> DataFrame:

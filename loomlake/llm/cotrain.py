@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._shared import documents, pieces
+from ._shared import documents, fresh_names, pieces
 from .crf_toxicity import training_rows
 from .fertility import sums
 
@@ -197,15 +198,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # WORDS weights and a few more, whatever the input
-    new = ["score_", "content_", "page_"]
-    held = docs.select(*(docs[f"`{c}`"] for c in kept), docs["text"].cast("string").alias("text_"), docs["lang"].cast("string").alias("lang_"), docs["source"].cast("string").alias("source_"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*(docs[f"`{c}`"] for c in kept)).schema) + ", score_ double, content_ double, page_ double"
+    names = fresh_names(kept, "score", "content", "page", "text", "lang", "source")
+    new, own = names[:3], names[3:]
+    held = docs.select(*(docs[f"`{c}`"] for c in kept), *(docs[c].cast("string").alias(n) for c, n in zip(("text", "lang", "source"), own, strict=True)))
+    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(n, T.DoubleType()) for n in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         views = Views()
-        for batch in pieces(batches, "text_", max_bytes=2 << 20):
-            texts = [x or "" for x in batch.column("text_").to_pylist()]
-            out = shipped.value.score(views, texts, batch.column("lang_").to_pylist(), batch.column("source_").to_pylist())
+        for batch in pieces(batches, own[0], max_bytes=2 << 20):
+            texts = [x or "" for x in batch.column(own[0]).to_pylist()]
+            out = shipped.value.score(views, texts, *(batch.column(n).to_pylist() for n in own[1:]))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *map(pa.array, out)], names=[*kept, *new])
 
     return held.mapInArrow(run, schema)
@@ -219,7 +221,8 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that the classifier keeps."""
-    return _scored(docs, model, docs.columns).where(F.col("score_") >= keep).drop("score_", "content_", "page_")
+    found = _scored(docs, model, docs.columns)
+    return found.where(F.col(found.columns[-3]) >= keep).drop(*found.columns[-3:])
 
 
 def op2_cotrain(spark, sf_dir: str) -> DataFrame:
