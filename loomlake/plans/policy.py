@@ -17,7 +17,7 @@ ROLES = ("development", "validation", "final_test")
 #: The frozen policy.
 POLICY = {
     "schema_version": 1,
-    "policy_id": "gc-mbp1-chronological-v1",
+    "policy_id": "chronological-splits-v1",
     "frozen_on": "2026-10-01",
     "assignment_key": "session_date_ny",
     "timezone": "America/New_York",
