@@ -218,12 +218,17 @@ def keep_one(docs: DataFrame, cell: int = CELL) -> DataFrame:
     Where all ids of a component are null its rows stay: nothing tells them apart.
     """
     near = near_components(docs, cell).where("doc_id = component_id or component_id is null")
-    heads = near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows_")).select(F.col("doc_id").alias("head_"), "rows_")
+    heads = cut(near.groupBy(F.col("doc_id").alias("head")).agg(F.count(F.lit(1)).alias("rows")))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    kept = docs.select(row.alias("row_"), F.col("doc_id").alias("id_")).join(heads, F.col("id_").eqNullSafe(F.col("head_")))
-    alone = (F.col("rows_") == 1) | F.col("id_").isNull()
-    repeated = kept.where(~alone).groupBy("id_").agg(F.min("row_").alias("row_"))
-    return kept.where(alone).select("row_.*").unionByName(repeated.select("row_.*"))
+    held = docs.select(row.alias("row"), F.col("doc_id").alias("id"))
+    of_head = F.col("id").eqNullSafe(F.col("head"))
+    kept = held.join(heads.where("rows = 1 or head is null"), of_head, "left_semi").select("row.*")
+    several = heads.where("rows > 1 and head is not null")
+    n = several.count()
+    if n:
+        repeated = held.join(F.broadcast(several) if n <= BROADCAST_ROWS else several, of_head, "left_semi")
+        kept = kept.unionByName(repeated.groupBy("id").agg(F.min("row").alias("row")).select("row.*"))
+    return kept
 
 
 def op3_simhash_cover(spark, sf_dir: str) -> DataFrame:
