@@ -196,3 +196,16 @@ def test_project_path():
     assert store.project_path("/a/b") == Path("/a/b")
     assert store.project_path("x", "/r") == Path("/r/x")
     assert access.DONE == store.DONE
+
+
+def test_benchmarks_hold_scans_against_the_manifest(spark, built):
+    from loomlake.operators.products import records_per_day
+    from loomlake.plans.benchmarks import CASES, query_benchmarks
+
+    rows, root, _ = built
+    manifest = records_per_day(rows).withColumnRenamed("records", "record_count")
+    found = query_benchmarks(spark, root, manifest)
+    assert [r["query"] for r in found] == [c.name for c in CASES for _ in range(2)]
+    assert {r["query"]: r["rows"] for r in found} == {"one_day_all_columns": 4, "one_month_selected_columns": 10, "one_day_selected_columns": 4, "date_range_two_months": 10, "records_per_day": 10}
+    with pytest.raises(ValueError, match="manifest"):
+        query_benchmarks(spark, root, manifest.selectExpr("session_date_ny", "record_count + 1 as record_count"))
