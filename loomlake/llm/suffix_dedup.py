@@ -27,6 +27,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._shared import cut, documents, pieces
 from .induced_sort import suffix_order
@@ -41,7 +42,7 @@ def _pack(*arrays: np.ndarray | bytes) -> bytes:
     """Arrays as one compressed body; their lengths and kinds are known to the reader."""
     raw = [x if isinstance(x, bytes) else x.tobytes() for x in arrays]
     head = np.array([len(raw), *map(len, raw)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
 
 
 def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
@@ -52,7 +53,10 @@ def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """block, body: the rows of ``docs`` in compressed blocks, dealt by block and kept in the shared folder."""
+    """block, body: the rows of ``docs`` in compressed blocks, kept in the shared folder.
+
+    Neither is ever null, and the schema says so: both later joins then deal the blocks alike and share one exchange.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 36
@@ -75,9 +79,8 @@ def blocks(docs: DataFrame) -> DataFrame:
         if held:
             yield block()
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, "block long, body binary")
-    return cut(packed.repartition(n, "block"))
+    schema = T.StructType([T.StructField("block", T.LongType(), False), T.StructField("body", T.BinaryType(), False)])
+    return cut(docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, schema))
 
 
 def windows(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -197,9 +200,12 @@ def _stretches(bits: int, shards: int):
                     found: dict[bytes, int] = {}
                     which = [found.setdefault(raw[p : p + n + LENGTH - 1], len(found)) for p, n in zip(place[a:b].tolist(), count[a:b].tolist(), strict=True)]
                     names.append(int(shard[a]))
-                    bodies.append(
-                        _pack(np.array(which, "u4"), doc[a:b].astype("u4"), (place - base)[a:b], ids[doc[a:b]], np.fromiter(map(len, found), "u4", len(found)), b"".join(found))
-                    )
+                    own, at = np.unique(doc[a:b], return_inverse=True)
+                    steps = np.diff(at, prepend=0)  # documents ascend, places within a document too
+                    far = np.diff((place - base)[a:b], prepend=0)
+                    far[steps > 0] = (place - base)[a:b][steps > 0]
+                    sizes_ = np.fromiter(map(len, found), "u4", len(found))
+                    bodies.append(_pack(np.diff(which, prepend=0).astype("i4"), steps.astype("u4"), far.astype("i8"), own.astype("u4"), ids[own], sizes_, b"".join(found)))
                 if names:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([block] * len(names), pa.int64()), pa.array(bodies, pa.binary())], names=["shard", "block", "body"])
 
@@ -231,9 +237,19 @@ def first_owners(texts: list[bytes], owner: np.ndarray, memory: int = 64 << 20)
     return least, starts
 
 
+def _occurrences(body: bytes) -> tuple[np.ndarray, ...]:
+    """(stretch, document, place, doc_id) of each occurrence, then the stretches' sizes and bytes."""
+    which, steps, far, own, ids, sizes, raw = _unpack(body, "i4", "u4", "i8", "u4", "i8", "u4", "u1")
+    at = np.cumsum(steps, dtype="i8")
+    total = np.cumsum(far)
+    first = np.flatnonzero(np.concatenate([[True], steps[1:] > 0]))
+    before = np.repeat(total[first] - far[first], np.diff(np.concatenate([first, [len(far)]])))
+    return np.cumsum(which, dtype="i8"), own[at], total - before, ids[at], sizes, raw
+
+
 def _spans(table: pa.Table) -> pa.Table:
     """One shard -> block, body: (document, start, end) to remove, for each block."""
-    rows = [_unpack(x, "u4", "u4", "i8", "i8", "u4", "u1") for x in table.column("body").to_pylist()]
+    rows = [_occurrences(x) for x in table.column("body").to_pylist()]
     found: dict[bytes, int] = {}
     which = []
     for own, _, _, _, sizes, raw in rows:
