@@ -17,6 +17,7 @@ QUERIES = {
     "op10_crf_toxicity": crf_toxicity.op10_crf_toxicity,
 }
 ORACLES = {
+    "op8_suffix_dedup": suffix_dedup.OP8_SQL,
     "op9_mtree": mtree.OP9_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
 }

@@ -342,3 +342,22 @@ def dedup_bytes(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup_bytes(documents(spark, sf_dir), keep_bytes=False)
+
+
+OP8_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS p FROM d)),
+o AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN o ON w.s = o.s WHERE o.least < w.doc_id),
+new AS (SELECT doc_id, p, CAST(coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 50, true) AS INTEGER) AS n FROM hit),
+grp AS (SELECT doc_id, p, sum(n) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS g FROM new),
+span AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM grp GROUP BY doc_id, g),
+part AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+               string_agg(substr(d.h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+        FROM part p JOIN d ON p.doc_id = d.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
+"""
