@@ -118,7 +118,8 @@ def _scan_date_range(spark, sf_dir):
 
 @query("scan_one_day_all_columns", f"{TICKS} SELECT session_date_ny, event_idx_day, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' if c.endswith('_raw') else c for c in NATIVE_COLUMNS)} FROM ticks WHERE session_date_ny = DATE '2024-01-03'")
 def _scan_one_day(spark, sf_dir):
-    return _text(ticks_from_events(spark, sf_dir).where("session_date_ny = date '2024-01-03'"), "ts_event_raw", "ts_recv_raw")
+    rows = _text(ticks_from_events(spark, sf_dir).where("session_date_ny = date '2024-01-03'"), "ts_event_raw", "ts_recv_raw")
+    return _long(rows, "length", "rtype", "publisher_id", "flags", "depth", "ts_in_delta")
 
 
 @query("month_predicate", f"{TICKS} SELECT strftime(session_date_ny, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS records FROM ticks WHERE strftime(session_date_ny, '%Y-%m') BETWEEN '2023-12' AND '2024-01' GROUP BY 1")
@@ -255,9 +256,10 @@ def _adjacent(spark, sf_dir):
     return A.check_rows(_audit(spark, sf_dir), ["adjacent_exact_duplicates"]).select("session_date_ny", "n")
 
 
-@query("natural_key_duplicates", "SELECT l_shipdate, CAST(sum(n - 1) AS BIGINT) AS repeats FROM (SELECT l_shipdate, count(*) AS n FROM lineitem GROUP BY l_shipdate, l_partkey, l_suppkey) GROUP BY l_shipdate")
+@query("natural_key_duplicates", "SELECT day, CAST(sum(n - 1) AS BIGINT) AS repeats FROM (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS n FROM lineitem GROUP BY 1, l_partkey, l_suppkey) GROUP BY day")
 def _natural(spark, sf_dir):
-    return A.exact_duplicates(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_shipdate"], ["l_partkey", "l_suppkey"], "repeats")
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("day", F.col("l_shipdate").cast("date"))
+    return A.exact_duplicates(rows, ["day"], ["l_partkey", "l_suppkey"], "repeats")
 
 
 for _column in ("action", "side", "flags", "instrument_id"):
