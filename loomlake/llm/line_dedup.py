@@ -15,7 +15,7 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPACE = " \t\n\x0b\f\r"
@@ -23,9 +23,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = 64
 
 
-def line_key(line: Column) -> Column:
-    """The line without blanks at its ends, A-Z lowered; other letters stay as they are."""
-    bare = F.btrim(line, F.lit(SPACE))
+def lowered(bare: Column) -> Column:
+    """A-Z lowered; other letters stay as they are."""
     return F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
@@ -40,19 +39,22 @@ def _identified(docs: DataFrame) -> DataFrame:
 def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """k, f, pos and the line's hash (h1, h2) for every line whose key has ``min_chars`` code points."""
     lines = _identified(docs).select("k", "f", F.posexplode(F.split("t", "\n", -1)).alias("pos", "line"))
-    keyed = lines.select("k", "f", "pos", line_key(F.col("line")).alias("key"))
-    return keyed.where(F.char_length("key") >= min_chars).select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "k", "f", "pos")
+    bare = lines.select("k", "f", "pos", F.btrim("line", F.lit(SPACE)).alias("bare")).where(F.char_length("bare") >= min_chars)
+    keyed = bare.select("k", "f", "pos", lowered(F.col("bare")).alias("key"))
+    return keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "k", "f", "pos")
 
 
 def line_statistics(occurring: DataFrame) -> DataFrame:
     """h1, h2, n_docs, n_lines and the first place (k, f, pos) of each distinct line.
 
-    The range partitioning serves the per-document step without a further shuffle; the per-line step shuffles one
-    partial row for each line and partition, so a hot line costs a row per partition.
+    The range partitions, sorted by (hash, document, position), serve the per-document step without a further shuffle:
+    it streams by and lets the first occurrence through. The per-line step shuffles one partial row for each line and
+    partition, so a hot line costs a row per partition.
     """
     key = ["h1", "h2", "k", "f"]
-    ranged = occurring.repartitionByRange(*key).sortWithinPartitions(*key, "pos")
-    firsts = ranged.groupBy(*key).agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"))
+    within = Window.partitionBy(*key)
+    ranged = occurring.repartitionByRange(*key).withColumns({"nth": F.row_number().over(within.orderBy("pos")), "n": F.count(F.lit(1)).over(within)})
+    firsts = ranged.where("nth = 1")
     return firsts.groupBy("h1", "h2").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_lines"), F.min(F.struct("k", "f", "pos")).alias("first")
     )
@@ -65,7 +67,9 @@ def keep_bitmaps(docs: DataFrame, mode: str = "frequent", min_docs: int = 10, mi
     keeps its first occurrence by (doc_id, text hash, position) and loses the others.
     """
     occurring = occurrences(docs, min_chars)
-    stats = line_statistics(occurring)
+    # through ^ 0 the keys are new columns to the planner: the join then deals both sides itself, and what it deals it
+    # can also split, so a line held by a third of all rows is joined by many tasks
+    stats = line_statistics(occurring).withColumns({h: F.col(h).bitwiseXOR(F.lit(0).cast("long")) for h in ("h1", "h2")})
     if mode == "frequent":
         lost = occurring.join(stats.where(F.col("n_docs") >= min_docs).select("h1", "h2"), ["h1", "h2"])
     elif mode == "first":
