@@ -31,10 +31,12 @@ from ._shared import documents, pieces
 
 TRAIN_DOCS, TRAIN_BYTES, CHAIN = 2000, 64 << 10, 64
 FOLDS = 5
-#: A word or beginning marks tokens of toxic documents from this many times the clean rate and this likelihood ratio on.
-TIMES, RATIO = 8.0, 15.0
+#: A word or beginning marks tokens of toxic documents from this many times the clean rate on, and from a likelihood
+#: ratio that chance reaches for one in exp(SURE / 2) of samples, all features that are tried taken together.
+TIMES, SURE = 8.0, 6.0
 CLEAN_SENTENCES = 12
-DIMENSIONS = 1 << 18
+#: The slot of all features that training has not met or does not use; its weight stays 0.
+SPARE = 0
 REMEMBERED = 400_000
 TOKENS = re.compile(r"\w+|[.!?\n]")
 ENDS = frozenset(".!?\n")
@@ -43,13 +45,7 @@ ENDS = frozenset(".!?\n")
 def features(word: str) -> list[str]:
     """What the chain sees of the word itself; neighbours see its first entry alone."""
     shape = "digit" if word.isdigit() else "mixed" if not word.isalpha() else "plain"
-    return [f"w={word}", f"4={word[:4]}", f"5={word[:5]}", f"n={min(len(word), 12)}", shape]
-
-
-def _slot(name: str) -> int:
-    import zlib
-
-    return zlib.crc32(name.encode()) % DIMENSIONS
+    return [f"w={word}", f"5={word[:5]}", f"4={word[:4]}", f"n={min(len(word), 12)}", shape]
 
 
 def chains(ends: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,14 +104,19 @@ def tokens(texts: list[str]) -> list[list[str]]:
 
 
 class Chain:
-    """The trained field: hashed weights for a word and for its neighbours, transitions, and the calibration."""
+    """The trained field: weights of a word's features and of its neighbours, transitions, and the calibration."""
 
     def __init__(self):
-        self.here, self.before, self.after = (np.zeros(DIMENSIONS + 1) for _ in range(3))
+        self.know([])
         self.move, self.begin, self.bias = np.zeros((2, 2)), 0.0, 0.0
         self.scale, self.prior = np.zeros(3), None
         self.forget()
 
+    def know(self, used: list[str]) -> None:
+        """Give these features a slot each, and all weights the value 0."""
+        self.index = {f: i for i, f in enumerate(used, SPARE + 1)}
+        self.here, self.before, self.after = (np.zeros(len(used) + 1) for _ in range(3))
+
     def forget(self) -> None:
         self.ids: dict[str, int] = {}
         self.table = np.zeros((1 << 12, 4))  # a word's weight here, as the left and as the right neighbour, is an end
@@ -127,6 +128,9 @@ class Chain:
         self.__dict__.update(state)
         self.forget()
 
+    def slots(self, word: str) -> list[int]:
+        return [self.index.get(f, SPARE) for f in features(word)]
+
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.ids]
         if len(self.ids) + len(new) > REMEMBERED:
@@ -136,9 +140,8 @@ class Chain:
         while n + len(new) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         for i, word in enumerate(new, n):
-            own = features(word)
-            slot = _slot(own[0])
-            self.table[i] = self.bias + sum(self.here[_slot(x)] for x in own), self.before[slot], self.after[slot], word in ENDS
+            own = self.slots(word)
+            self.table[i] = self.bias + self.here[own].sum(), self.before[own[0]], self.after[own[0]], word in ENDS
         self.ids.update(zip(new, range(n, n + len(new)), strict=True))
 
     def emissions(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -172,18 +175,29 @@ class Chain:
         return 1 / (1 + np.exp(-np.clip(seen @ self.scale, -30, 30)))
 
 
-def marked_features(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
-    """Words and beginnings that tell toxic documents from clean ones, by the numbers of documents that have them."""
-    a, b = (Counter(f for x in side for f in {f for w in set(x) - ENDS for f in features(w)[:3]}) for side in (toxic, clean))
-    n, m = len(toxic), len(clean)
-    found = set()
-    for f, k in a.items():
-        j = b[f]
-        if (k + 0.5) / (n + 1) >= TIMES * (j + 0.5) / (m + 1):
-            share = (k + j) / (n + m)
-            ratio = 2 * (k * np.log(k / (n * share)) + (j * np.log(j / (m * share)) if j else 0))
-            if ratio >= RATIO:
-                found.add(f)
+def telling_features(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
+    """Words and beginnings that tell toxic documents from clean ones, by the numbers of documents that have them.
+
+    Words come first, then longer, then shorter beginnings, each counted over the words that nothing longer covers: a
+    beginning must tell by itself, not by one word that has it.
+    """
+    n, m, found = len(toxic), len(clean), set()
+    for level in range(3):
+
+        def seen(words: list[str], level: int = level) -> set[str]:
+            own = (features(w) for w in set(words) - ENDS)
+            return {f[level] for f in own if found.isdisjoint(f[:level])}
+
+        a, b = (Counter(f for x in side for f in seen(x)) for side in (toxic, clean))
+        least = 2 * np.log(max(len(a), 1)) + SURE
+        new = set()
+        for f, k in a.items():
+            j = b[f]
+            if (k + 0.5) / (n + 1) >= TIMES * (j + 0.5) / (m + 1):
+                share = (k + j) / (n + m)
+                if 2 * (k * np.log(k / (n * share)) + (j * np.log(j / (m * share)) if j else 0)) >= least:
+                    new.add(f)
+        found |= new
     return found
 
 
@@ -223,7 +237,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
         own += [i for i in of if i not in set(of[::4])] if len(of) > 3 else of
     calibrating, said = [found[i] for i in sorted(aside)], y[sorted(aside)]
     found, y = [found[i] for i in sorted(own)], y[sorted(own)]
-    telling = marked_features([x for x, t in zip(found, y, strict=True) if t], [x for x, t in zip(found, y, strict=True) if not t])
+    telling = telling_features([x for x, t in zip(found, y, strict=True) if t], [x for x, t in zip(found, y, strict=True) if not t])
     marked = {w for w in set().union(*found) - ENDS if not telling.isdisjoint(features(w)[:3])}
     rng = np.random.default_rng(seed)
     sentences = []
@@ -236,14 +250,13 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
         picked = rng.permutation(len(rest))[:CLEAN_SENTENCES]
         sentences += [(x, [int(w in marked) for w in x]) for x, h in zip(own, hit, strict=True) if h]
         sentences += [(rest[i], [0] * len(rest[i])) for i in picked]
-    grown = [np.full(DIMENSIONS + 1, 1e-3) for _ in range(3)]
+    # words met once stay without a slot, as words never met have none; beginnings are used if they tell something
+    often = Counter(w for x, _ in sentences for w in x)
+    own = {w: features(w) for w in often}
+    chain.know(sorted({own[w][0] for w, n in often.items() if n > 1} | {f for x in own.values() for f in x[3:]} | {f for x in own.values() for f in x[1:3] if f in telling}))
+    slots = {w: chain.slots(w) for w in often}
     weights = (chain.here, chain.before, chain.after)
-    slots: dict[str, list[int]] = {}
-    spare = DIMENSIONS  # a weight that is never used: words met once look like words never met
-    for word, n in Counter(w for x, _ in sentences for w in x).items():
-        slots[word] = [_slot(f) for f in features(word)]
-        if n == 1:
-            slots[word][0] = spare
+    grown = [np.full(len(w), 1e-3) for w in weights]
     width = len(features("x"))
     for _ in range(epochs):
         order = rng.permutation(len(sentences))
@@ -267,14 +280,13 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
                 grad = np.bincount(back, by, len(uniq)) - 1e-3 * w[uniq]
                 g[uniq] += grad**2
                 w[uniq] += 0.2 * grad / np.sqrt(g[uniq])
+                w[SPARE] = 0
             seen = np.zeros((2, 2))
             np.add.at(seen, (gold[i - 1], gold[i]), 1)
             chain.move += 0.2 * (seen - pairs) / n
             chain.move -= chain.move[0, 0]
             chain.begin += 0.2 * step[starts].sum() / n
             chain.bias += 0.2 * step.sum() / n
-    for w in weights:
-        w[spare] = 0
     x, y = chain.summary(calibrating)[2], said
     chain.scale = np.array([0.5, 0.5, 0.0])
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
@@ -325,7 +337,7 @@ SCHEMA = "doc_id long, score double, spans array<struct<start: int, end: int, p:
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, score and the offending spans (offsets into the lower-cased text) of every row of ``docs``."""
-    shipped = docs.sparkSession.sparkContext.broadcast(chain)  # 3 x DIMENSIONS weights, whatever the input
+    shipped = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by the training sample, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, max_bytes=2 << 20):
