@@ -34,6 +34,8 @@ FOLDS = 5
 #: A word or beginning marks tokens of toxic documents from this many times the clean rate on, and from a likelihood
 #: ratio that chance reaches for one in exp(SURE / 2) of samples, all features that are tried taken together.
 TIMES, SURE = 8.0, 6.0
+BEGINNINGS = (9, 8, 7, 6, 5, 4, 3)
+TELLING = slice(0, 1 + len(BEGINNINGS))
 CLEAN_SENTENCES = 12
 #: The slot of all features that training has not met or does not use; its weight stays 0.
 SPARE = 0
@@ -43,9 +45,10 @@ ENDS = frozenset(".!?\n")
 
 
 def features(word: str) -> list[str]:
-    """What the chain sees of the word itself; neighbours see its first entry alone."""
+    """What the chain sees of the word itself: the word, its beginnings from the longest on, its length, its shape;
+    "" where it is too short for a beginning. Neighbours see the word alone."""
     shape = "digit" if word.isdigit() else "mixed" if not word.isalpha() else "plain"
-    return [f"w={word}", f"5={word[:5]}", f"4={word[:4]}", f"n={min(len(word), 12)}", shape]
+    return [f"w={word}", *(f"{k}={word[:k]}" if len(word) > k else "" for k in BEGINNINGS), f"n={min(len(word), 12)}", shape]
 
 
 def chains(ends: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +168,7 @@ class Chain:
         p, _ = marginals(emit, starts, lengths, self.move, self.begin)
         top, clear = np.full(len(found), 1e-6), np.zeros(len(found))
         np.maximum.at(top, docs, p)
-        np.add.at(clear, docs, np.where(p > 0.1, p, 0))
+        np.add.at(clear, docs, np.where(p > 0.5, p, 0))
         top = np.clip(top, 1e-6, 1 - 1e-6)
         return p, docs, np.stack([np.log(top / (1 - top)), np.log1p(clear), np.ones(len(found))], axis=1)
 
@@ -178,22 +181,20 @@ class Chain:
 def telling_features(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
     """Words and beginnings that tell toxic documents from clean ones, by the numbers of documents that have them.
 
-    Words come first, then longer, then shorter beginnings, each counted over the words that nothing longer covers: a
-    beginning must tell by itself, not by one word that has it.
+    Words come first, then beginnings from the longest on. A beginning must tell over all its words, and still do so,
+    in two documents or more, over those that nothing longer covers: not by one word that has it.
     """
     n, m, found = len(toxic), len(clean), set()
-    for level in range(3):
-
-        def seen(words: list[str], level: int = level) -> set[str]:
-            own = (features(w) for w in set(words) - ENDS)
-            return {f[level] for f in own if found.isdisjoint(f[:level])}
-
-        a, b = (Counter(f for x in side for f in seen(x)) for side in (toxic, clean))
+    pure = lambda k, j: (k + 0.5) / (n + 1) >= TIMES * (j + 0.5) / (m + 1)
+    both = [[[features(w)[TELLING] for w in set(x) - ENDS] for x in side] for side in (toxic, clean)]
+    for level in range(1 + len(BEGINNINGS)):
+        a, b = (Counter(g for x in side for g in {f[level] for f in x} if g) for side in both)
+        rest_a, rest_b = (Counter(g for x in side for g in {f[level] for f in x if found.isdisjoint(f[:level])} if g) for side in both)
         least = 2 * np.log(max(len(a), 1)) + SURE
         new = set()
         for f, k in a.items():
             j = b[f]
-            if (k + 0.5) / (n + 1) >= TIMES * (j + 0.5) / (m + 1):
+            if pure(k, j) and (not level or rest_a[f] > 1 and pure(rest_a[f], rest_b[f])):
                 share = (k + j) / (n + m)
                 if 2 * (k * np.log(k / (n * share)) + (j * np.log(j / (m * share)) if j else 0)) >= least:
                     new.add(f)
@@ -238,7 +239,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
     calibrating, said = [found[i] for i in sorted(aside)], y[sorted(aside)]
     found, y = [found[i] for i in sorted(own)], y[sorted(own)]
     telling = telling_features([x for x, t in zip(found, y, strict=True) if t], [x for x, t in zip(found, y, strict=True) if not t])
-    marked = {w for w in set().union(*found) - ENDS if not telling.isdisjoint(features(w)[:3])}
+    marked = {w for w in set().union(*found) - ENDS if not telling.isdisjoint(features(w)[TELLING])}
     rng = np.random.default_rng(seed)
     sentences = []
     for words, toxic in zip(found, y, strict=True):
@@ -253,7 +254,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
     # words met once stay without a slot, as words never met have none; beginnings are used if they tell something
     often = Counter(w for x, _ in sentences for w in x)
     own = {w: features(w) for w in often}
-    chain.know(sorted({own[w][0] for w, n in often.items() if n > 1} | {f for x in own.values() for f in x[3:]} | {f for x in own.values() for f in x[1:3] if f in telling}))
+    chain.know(sorted({own[w][0] for w, n in often.items() if n > 1} | {f for x in own.values() for f in x[TELLING.stop :]} | {f for x in own.values() for f in x[TELLING] if f in telling}))
     slots = {w: chain.slots(w) for w in often}
     weights = (chain.here, chain.before, chain.after)
     grown = [np.full(len(w), 1e-3) for w in weights]
@@ -288,12 +289,14 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
             chain.begin += 0.2 * step[starts].sum() / n
             chain.bias += 0.2 * step.sum() / n
     x, y = chain.summary(calibrating)[2], said
-    chain.scale = np.array([0.5, 0.5, 0.0])
+    plain = np.array([0.7, 1.5, -0.5])  # what few documents are drawn to: more than one clear token
+    chain.scale = plain
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    for _ in range(400):  # Newton steps, ridge 1e-2
+    ridge = 1e-3 + 1 / len(y)
+    for _ in range(400):  # Newton steps
         s = chain.scores(x)
-        grad = x.T @ (weight * (y - s)) / len(y) - 1e-2 * chain.scale
-        curve = (x * (weight * s * (1 - s))[:, None]).T @ x / len(y) + 1e-2 * np.eye(3)
+        grad = x.T @ (weight * (y - s)) / len(y) - ridge * (chain.scale - plain)
+        curve = (x * (weight * s * (1 - s))[:, None]).T @ x / len(y) + ridge * np.eye(3)
         step = np.linalg.solve(curve, grad)
         chain.scale = chain.scale + step / max(1, np.abs(step).max())
         if np.abs(step).max() < 1e-8:
