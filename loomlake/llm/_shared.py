@@ -31,7 +31,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 4 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece holds at most ``max_bytes`` of ``column``, or one row if that row is longer."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()

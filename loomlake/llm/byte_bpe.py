@@ -31,7 +31,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: White space as the White_Space property has it; the regex module's \s differs on U+001C to U+001F.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pre-tokens whose codes are remembered in a worker; beyond it the memory starts anew, the results are the same.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 def byte_letters() -> list[str]:

@@ -37,7 +37,7 @@ ROUNDS, PER_ROUND = 4, 150
 WORDS, SOURCES = 1 << 15, 64
 #: The slot of a token that repeats the one before it.
 REPEAT = 0
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: A document is kept from this probability of good quality on.
 KEEP = 0.3
 MARKS = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -205,7 +205,7 @@ def _scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         views = Views()
-        for batch in pieces(batches, own[0], max_bytes=2 << 20):
+        for batch in pieces(batches, own[0]):
             texts = [x or "" for x in batch.column(own[0]).to_pylist()]
             out = shipped.value.score(views, texts, *(batch.column(n).to_pylist() for n in own[1:]))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), *map(pa.array, out)], names=[*kept, *new])
