@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import budget_mix, byte_bpe, cotrain, line_dedup, simhash_cover
+from loomlake.llm import budget_mix, byte_bpe, cotrain, jaccard_links, line_dedup, simhash_cover
 from loomlake.llm._shared import documents, shared_path
 
 
@@ -26,13 +26,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that of the smallest id."""
+    """One document of each group that SimHash links at 3 bits stays: that of the smallest id."""
     return simhash_cover.keep_one(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One document of each group linked at a similarity of 0.8 or more of 5-word shingles stays; SimHash at 3 bits misses most."""
+    return jaccard_links.keep_one(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that fill the budgets of the weight tree in one seeded epoch."""
-    return budget_mix.mixed(docs)
+    """The documents, without the near copies that SimHash left, that fill the budgets of the weight tree in one seeded epoch."""
+    return budget_mix.mixed(near_copies(spark, docs))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +49,7 @@ STAGES = [
     ("quality classifier", quality),
     ("line dedup", lines),
     ("SimHash near-dedup", near_duplicates),
-    ("mixing sources to target weights", mixture),
+    ("near copies by Jaccard, mixing sources to target weights", mixture),
     ("byte-level BPE encoding and decoding", encoding),
 ]
 

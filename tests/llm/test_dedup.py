@@ -269,3 +269,48 @@ def test_suffixes_are_sorted_with_their_common_prefixes(texts, base, memory):
         for a, b, n in zip(at.tolist(), at[1:].tolist(), common[1:].tolist(), strict=False):
             x, y = key(a)[0][:-1], key(b)[0][:-1]
             assert n == next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+
+
+def edited(text: str, every: int) -> str:
+    return " ".join("edited" + w if i % every == every // 2 else w for i, w in enumerate(text.split()))
+
+
+@pytest.mark.parametrize("cell", [3, 256])
+def test_jaccard_links_equal_brute_force(spark, docs, rows, cell):
+    from loomlake.llm import jaccard_links as jl
+
+    found = [(r[0], r[1]) for r in rows] + [(1000 + 10 * i + k, edited(words(500 + i, 400), every)) for i in range(6) for k, every in enumerate((1000, 300, 90, 60, 45, 30))]
+    table = spark.createDataFrame(found, "doc_id long, text string").repartition(4)
+    sets = {}
+    for _, text in found:
+        s = jl.shingle_set(text or "")
+        if len(s):
+            sets[jl.set_key(s)] = set(s.tolist())
+    keys = sorted(sets)
+    root = {k: k for k in keys}
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if r == old else r for k, r in root.items()}
+    links = [(r["u"], r["v"]) for r in jl.jaccard_links(table, jl.signed(table).cache(), cell).collect()]
+    mine = {k: k for k in keys}
+    for u, v in links:
+        assert len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])
+        old, new = max(mine[u], mine[v]), min(mine[u], mine[v])
+        mine = {k: new if r == old else r for k, r in mine.items()}
+    assert mine == root and sum(k != r for k, r in root.items()) >= 12
+
+
+def test_pipeline_drops_copies_at_similarity(spark):
+    import corpus_pipeline
+
+    texts = [words(900 + i, 500) for i in range(8)]
+    found = [(2 * i + k, t if k == 0 else edited(t, 60), "en", "s", 0) for i, t in enumerate(texts) for k in (0, 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = spark.createDataFrame([*found, (100, None, None, None, None), (101, "", "en", "s", 0)], schema)
+    kept = corpus_pipeline.near_copies(spark, table)
+    assert kept.columns == table.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(0, 16, 2), 100, 101]
+    taken = {r["doc_id"] for r in corpus_pipeline.mixture(spark, table, "").collect()}
+    assert taken and not taken & set(range(1, 16, 2))
