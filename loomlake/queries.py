@@ -151,6 +151,11 @@ def _sentinel(spark, sf_dir):
     return rows.select("session_date_ny", "event_idx_day", tf.defined_ns(F.col("ts_event_raw")).alias("ts_event_ns"))
 
 
+@query("sentinel_to_null_all", f"{TICKS} SELECT session_date_ny, event_idx_day, {_DEFINED} AS ts_event_ns FROM ticks")
+def _sentinel_all(spark, sf_dir):
+    return ticks_from_events(spark, sf_dir).select("session_date_ny", "event_idx_day", tf.defined_ns(F.col("ts_event_raw")).alias("ts_event_ns"))
+
+
 @query("flag_bits", f"{TICKS} SELECT session_date_ny, " + ", ".join(f"CAST(count(*) FILTER (WHERE (flags & {b}) <> 0) AS BIGINT) AS {n}" for n, b in FLAG_BITS.items()) + " FROM ticks GROUP BY session_date_ny")
 def _flag_bits(spark, sf_dir):
     return ticks_from_events(spark, sf_dir).groupBy("session_date_ny").agg(*(F.count_if(tf.has_bit(F.col("flags"), b)).alias(n) for n, b in FLAG_BITS.items()))

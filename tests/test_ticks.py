@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import os
 from datetime import date
 from statistics import median
 
@@ -10,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from loomlake import queries
 from loomlake.functions import ticks as tf
 from loomlake.operators import audit, native, normalize, order, products
 from loomlake.schema import UNDEF_PRICE, UNDEF_TIMESTAMP
@@ -192,3 +194,12 @@ def test_empty_table(spark):
     assert normalize.normalize(none).count() == 0
     assert native.ordered_digest(none).count() == 0
     assert products.coverage_gaps(none).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_sentinels_of_all_rows_are_converted(spark):
+    found = queries.QUERIES["sentinel_to_null_all"](spark, "/root/testdata/sf0.001")
+    raw = queries.ticks_from_events(spark, "/root/testdata/sf0.001").select("session_date_ny", "event_idx_day", "ts_event_raw").collect()
+    want = {(r[0], r[1]): None if int(r[2]) == UNDEF_TIMESTAMP else int(r[2]) for r in raw}
+    mine = {(r["session_date_ny"], r["event_idx_day"]): r["ts_event_ns"] for r in found.collect()}
+    assert mine == want and {i % 7 for _, i in mine} == set(range(7))
