@@ -9,7 +9,8 @@ LENGTH or more share a window, and the smallest doc_id among them is known. Step
 and the bytes go. Nothing is decided by hashes alone: they only choose where exact comparisons take place.
 
 What is collected in one task: a block, the shared anchors of one hash bucket, or one shard; their number follows the
-input. A passage in a third of all documents travels once for each block, not for each document.
+input. Equal stretches travel once for each block; those at the edges of a passage hold bytes outside it and so differ,
+one or two for each document. A shard's stretches must fit in a task's memory, and an anchor's are not split.
 
 Defined results: null text is empty; a null doc_id counts as larger than all others, and null ids are no larger than
 each other; rows that repeat an id are one document and remove nothing from each other; documents shorter than LENGTH
