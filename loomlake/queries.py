@@ -378,6 +378,11 @@ def _empties(spark, sf_dir):
     return A.session_audit(ticks, sessions=days).select("session_date_ny", "record_count", "empty")
 
 
+@query("empty_sessions_all", f"{TICKS}, {_CALENDAR} SELECT c.session_date_ny, CAST(count(t.price) AS BIGINT) AS record_count, count(t.price) = 0 AS empty FROM cal c LEFT JOIN ticks t USING (session_date_ny) GROUP BY 1")
+def _empties_all(spark, sf_dir):
+    return A.session_audit(ticks_from_events(spark, sf_dir), sessions=tf.calendar(spark, FIRST, LAST)).select("session_date_ny", "record_count", "empty")
+
+
 # ---- joins over calendar, inventory, mappings, policy --------------------------------------------------------------
 
 
