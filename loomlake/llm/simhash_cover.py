@@ -116,7 +116,8 @@ def _to_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= THRESHOLD
+    """Whether signed words differ in few bits. Counted unsigned: of signed words the bits of the absolute value count."""
+    return np.bitwise_count((a ^ b).view("u8")) <= THRESHOLD
 
 
 def cell_links(fp: np.ndarray, home: np.ndarray) -> tuple[list[int], list[int]]:

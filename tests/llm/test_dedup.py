@@ -138,15 +138,15 @@ def test_anchors_cover_every_close_pair():
 @pytest.mark.parametrize("cell", [5, 4096])
 def test_links_of_crowded_anchors_are_whole(spark, cell):
     rng = np.random.default_rng(3)
-    made = {0, 1 << 63}
-    for centre in rng.integers(-(1 << 62), 1 << 62, 25).tolist():
+    made = {0, 3 | 1 << 63, 1 << 40 | 1 << 63, (1 << 64) - (1 << 40)}
+    for centre in rng.integers(0, 1 << 64, 25, "u8").tolist():
         now = centre
         for _ in range(12):  # a chain of steps of up to 3 bits, and stars
-            for b in rng.integers(0, 62, rng.integers(1, 4)).tolist():
+            for b in rng.integers(0, 64, rng.integers(1, 4)).tolist():
                 now ^= 1 << b
             made.add(now)
-            made.add(now ^ 1 << int(rng.integers(0, 62)))
-    values = np.array(sorted(made - {1 << 63}), "i8")
+            made.add(now ^ 1 << int(rng.integers(0, 64)))
+    values = np.array(sorted(made), "u8").view("i8")
     fps = spark.createDataFrame([(int(v),) for v in values], "fp long")
     links = simhash_cover.near_links(fps, cell)
     assert links.where("bit_count(u ^ v) > 3 or u = v").count() == 0
@@ -156,6 +156,31 @@ def test_links_of_crowded_anchors_are_whole(spark, cell):
     assert len(set(zip(mine, root.tolist(), strict=True))) == len(set(mine)) == len(set(root.tolist()))
 
 
+def test_every_bit_counts_as_one(spark):
+    rng = np.random.default_rng(8)
+    for base in (0, (1 << 64) - 1, int(rng.integers(0, 1 << 64, dtype="u8"))):
+        for wide in (3, 4):  # each bit flipped along with others: linked at 3, not at 4
+            flips = [sum(1 << (b + 21 * k) % 64 for k in range(wide - 1)) ^ 1 << (b + 11) % 64 for b in range(64)]
+            assert all(f.bit_count() == wide for f in flips)
+            near = simhash_cover._near(np.array([base ^ f for f in flips], "u8").view("i8"), np.array([base] * 64, "u8").view("i8"))
+            assert near.tolist() == [wide <= 3] * 64
+        values = np.array([base, *(base ^ 1 << b for b in range(64))], "u8").view("i8")
+        links = simhash_cover.near_links(spark.createDataFrame([(int(v),) for v in values], "fp long")).collect()
+        assert {int(values[0])} | {r["u"] for r in links} | {r["v"] for r in links} == set(values.tolist())
+
+
+def test_components_of_the_tables_equal_brute_force(spark):
+    import os
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("the tables are not there")
+    table = spark.read.parquet(path)
+    want = brute_components([(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()])
+    found = simhash_cover.op3_simhash_cover(spark, "/root/testdata/sf0.01")
+    assert bag(tuple(r) for r in found.collect()) == bag(want)
+
+
 def test_cells_tell_no_more_than_a_forest():
     fp = np.array([a | b << 5 for a in range(4) for b in range(64)], "i8")
     u, _ = simhash_cover.cell_links(fp, np.ones(len(fp), bool))
