@@ -2,14 +2,19 @@
 
 Rows of each old shard fall by hash into a fixed number of blocks; only the blocks' sizes, whose number is a
 parameter, reach the driver. A flow network (old shard -> same new shard at cost 0, old shard -> hub -> any new shard at
-cost 1 a byte) is solved by successive shortest paths; blocks follow the flow, largest first, and a last pass trades
-blocks between the fullest and the emptiest shard while that evens them out. Rows get their slot from their block's
-offset and their place in the block, so no task ever holds a whole shard.
+cost 1 a byte) is solved by successive shortest paths; blocks follow the flow, largest first, and a last pass moves
+blocks from the fullest to the emptiest shard while that evens them out: first blocks that have left their old shard
+anyway, which costs no more bytes, others only when none of those helps. Rows get their slot from their block's offset
+and their place in the block, so no task ever holds a whole shard.
+
+Rows alike in id, size and crc are counted first and dealt over blocks in up to ``LOTS`` lots, so that a row that
+repeats in a third of the table is spread like any other, and no task holds its copies.
 
 Defined results: null text has size 8 and crc 0; a null doc_id is a value like any other; repeated rows get slots of
 their own; an empty table gives an empty result; extra columns are ignored by :func:`assign`. Equal texts are not kept
 together: the law is equal bytes, and one text may hold more than a shard's share. Sizes are near equal up to the
-largest block, or the largest row where a row outweighs a block.
+largest block, or the largest row where a row outweighs a block; beyond the least bytes that the flow finds, at most
+that much of a shard moves.
 """
 
 from __future__ import annotations
@@ -20,9 +25,11 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import documents
+from ._shared import cut, documents, fresh_names
 
 OLD_SHARDS, NEW_SHARDS, BLOCKS = 16, 24, 512
+#: Lots that the copies of one row are dealt in at most.
+LOTS = 4096
 
 
 class Flow:
@@ -131,10 +138,12 @@ def place_blocks(blocks: dict[tuple[int, int], tuple[int, int]], capacities: lis
         over = [n - c for n, c in zip(load, capacities, strict=True)]
         high, low = over.index(max(over)), over.index(min(over))
         half = (over[high] - over[low]) / 2
-        best = min(((abs(half - size), size, block) for size, block in held[high] if 0 < size < 2 * half), default=None)
+        # moved bytes: fewer if the block goes home, the same if it has left home, more if it is at home
+        trades = ((block[0] == high, block[0] != low, abs(half - size), size, block) for size, block in held[high] if 0 < size < 2 * half)
+        best = min(trades, default=None)
         if best is None:
             break
-        _, size, block = best
+        *_, size, block = best
         held[high].remove((size, block))
         held[low].append((size, block))
         placed[block] = low
@@ -147,19 +156,25 @@ def _even(total: int, n: int) -> list[int]:
     return [total // n + (i < total % n) for i in range(n)]
 
 
-def assign(rows: DataFrame, old_shard: Column, n_new: int = NEW_SHARDS, weights: list[float] | None = None, blocks: int = BLOCKS) -> DataFrame:
+def assign(
+    rows: DataFrame, old_shard: Column, n_new: int = NEW_SHARDS, weights: list[float] | None = None, blocks: int = BLOCKS, place: tuple[str, ...] = ()
+) -> DataFrame:
     """doc_id, size, text_crc32, old_shard, block, shard, slot for every row of ``rows`` (doc_id, text).
 
-    ``weights``: the new shards' shares of the bytes, equal if not given. At most old shards x ``blocks`` sums come
-    to the driver, and as many rows are broadcast.
+    ``weights``: the new shards' shares of the bytes, equal if not given. ``place``: columns that tell rows apart; they
+    are returned too. At most old shards x ``blocks`` sums come to the driver, and as many rows are broadcast.
     """
     spark, text = rows.sparkSession, F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = ["doc_id", "size", "text_crc32", "old_shard", *place]
     sized = rows.select(
-        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), old_shard.cast("int").alias("old_shard")
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), old_shard.cast("int").alias("old_shard"), *place
     )
-    mixed = F.xxhash64("doc_id", "text_crc32", "size")
-    cut = sized.withColumn("mixed", mixed).withColumn("block", F.pmod(F.shiftright("mixed", 17), F.lit(blocks)).cast("int"))
-    sums = cut.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    alike = sized.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    each = F.ceil(F.col("copies") / LOTS)
+    lots = alike.select(*key, "copies", each.alias("each"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / each) - 1)).alias("lot"))
+    lots = lots.withColumn("n", F.least("each", F.col("copies") - F.col("lot") * F.col("each"))).withColumn("mixed", F.xxhash64(*key, "lot"))
+    dealt = cut(lots.select(*key, "n", "mixed", F.pmod(F.shiftright("mixed", 17), F.lit(blocks)).cast("int").alias("block")))
+    sums = dealt.groupBy("old_shard", "block").agg(F.sum(F.col("size") * F.col("n")).alias("bytes"), F.sum("n").alias("n")).collect()
     stats = {(r["old_shard"], r["block"]): (r["bytes"], r["n"]) for r in sums}
     total = sum(b for b, _ in stats.values())
     capacities = _even(total, n_new)
@@ -167,13 +182,16 @@ def assign(rows: DataFrame, old_shard: Column, n_new: int = NEW_SHARDS, weights:
         capacities = [int(total * w / sum(weights)) for w in weights]
         capacities[0] += total - sum(capacities)
     plan, filled = [], [0] * len(capacities)
-    for key, j in sorted(place_blocks(stats, capacities).items()):
-        plan.append((*key, j, filled[j]))
-        filled[j] += stats[key][1]
+    for block, j in sorted(place_blocks(stats, capacities).items()):
+        plan.append((*block, j, filled[j]))
+        filled[j] += stats[block][1]
     table = spark.createDataFrame(plan, "old_shard int, block int, shard int, first long")
-    inside = Window.partitionBy("old_shard", "block").orderBy("mixed", "doc_id", "text_crc32")
-    placed = cut.withColumn("at", F.row_number().over(inside) - 1).join(F.broadcast(table), ["old_shard", "block"])
-    return placed.select("doc_id", "size", "text_crc32", "old_shard", "block", "shard", (F.col("first") + F.col("at")).alias("slot"))
+    before = Window.partitionBy("old_shard", "block").orderBy("mixed", *key).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0))).join(F.broadcast(table), ["old_shard", "block"])
+    nth = F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1))
+    return placed.select(*key, "block", "shard", (F.col("first") + F.col("at")).alias("from_"), nth.alias("nth_")).select(
+        "doc_id", "size", "text_crc32", "old_shard", "block", "shard", (F.col("from_") + F.col("nth_")).alias("slot"), *place
+    )
 
 
 def hash_shard(n: int) -> Column:
@@ -185,24 +203,24 @@ def reshard_files(spark: SparkSession, old_dir: str, out_dir: str, n_new: int, w
     """Reshard a table kept as ``old_dir``/shard=<i>/*.parquet; returns shard, action ("kept" or "written"), bytes, rows.
 
     A shard that neither loses nor gains a row stays where it is; all others are written to ``out_dir``/shard=<j>,
-    ordered by slot, by as many tasks as the bytes ask for.
+    ordered by slot, by as many tasks as the bytes ask for. Rows are known by their file and place in it; the text is
+    read again only from old shards that lose or gain rows. ``out_dir`` must not lie in ``old_dir``, or the other way
+    round: a lost executor's tasks read the old files again.
     """
+    a, b = (x.rstrip("/") + "/" for x in (old_dir, out_dir))
+    if a.startswith(b) or b.startswith(a):
+        raise ValueError("the new shards need a folder apart from the old ones")
     old = spark.read.parquet(old_dir)
     name = [c for c in old.columns if c not in ("shard", "slot")]
-    placed = assign(old.select("doc_id", "text", "shard"), F.col("shard"), n_new, weights, blocks)
+    file, row = fresh_names(old.columns, "file", "row")
+    own = [F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)]
+    placed = cut(assign(old.select("doc_id", "text", F.col("shard").alias("old"), *own), F.col("old"), n_new, weights, blocks, (file, row)))
     moved = placed.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
     touched = sorted(r["shard"] for r in moved.collect())  # at most one row for each old or new shard
-    # crc and size stand for the text here: rows that agree in id and text are the same row
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    nth = Window.partitionBy("old_shard", "id_", "size", "text_crc32")
-    left = old.select(
-        F.struct(*(F.col(f"`{c}`") for c in name)).alias("row"), F.col("shard").cast("int").alias("old_shard"), F.col("doc_id").alias("id_"),
-        (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-    ).withColumn("nth", F.row_number().over(nth.orderBy(F.xxhash64("row"))))
-    right = placed.withColumnRenamed("doc_id", "id_").withColumn("nth", F.row_number().over(nth.orderBy("slot")))
-    same = [left[c].eqNullSafe(right[c]) for c in ("old_shard", "id_", "size", "text_crc32", "nth")]
-    rows = left.join(right, same).where(right["shard"].isin(touched)).select(right["shard"], "slot", "row")
-    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").select("shard", "slot", "row.*").write.mode("overwrite").partitionBy("shard").parquet(out_dir)
+    left = old.where(F.col("shard").isin(touched)).select(F.struct(*(F.col(f"`{c}`") for c in name)).alias("whole"), *own)
+    right = placed.where(F.col("shard").isin(touched)).select("shard", "slot", file, row)
+    rows = left.join(right, [file, row]).select("shard", "slot", "whole")
+    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").select("shard", "slot", "whole.*").write.mode("overwrite").partitionBy("shard").parquet(out_dir)
     told = placed.groupBy("shard").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     return told.select("shard", F.when(F.col("shard").isin(touched), "written").otherwise("kept").alias("action"), "bytes", "rows")
 

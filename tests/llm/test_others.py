@@ -60,6 +60,39 @@ def test_shards_of_many_rows_are_near_equal(spark):
     assert len(sums) == 24 and max(sums) - min(sums) < 0.02 * total / 24 + 400 and moved < 0.36 * total
 
 
+def test_shards_of_repeated_rows_are_near_equal(spark):
+    same = spark.range(2000).selectExpr("cast(null as long) as doc_id", "'again' as text")
+    made = same.union(spark.range(2000).selectExpr("id", "concat('x', id)"))
+    found = shard_flow.assign(made, shard_flow.hash_shard(16)).collect()
+    load = {}
+    for r in found:
+        load.setdefault(r["shard"], []).append(r)
+    sums = [sum(r["size"] for r in own) for own in load.values()]
+    assert len(found) == 4000 and len(sums) == 24 and max(sums) - min(sums) < 0.05 * sum(sums) / 24
+    assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in load.values())
+
+
+def test_copies_beyond_the_lots(spark, monkeypatch):
+    monkeypatch.setattr(shard_flow, "LOTS", 7)
+    made = spark.range(1000).selectExpr("1L as doc_id", "'again' as text").union(spark.range(3).selectExpr("id", "'b'"))
+    found = shard_flow.assign(made, F.lit(0), 3).collect()
+    own = {j: sorted(r["slot"] for r in found if r["shard"] == j) for j in range(3)}
+    assert len(found) == 1003 and all(s == list(range(len(s))) for s in own.values()) and len(own[0]) < 1000
+
+
+@pytest.mark.parametrize("old_shards,new_shards", [(4, 6), (6, 4), (1, 3)])
+def test_placement_moves_the_fewest_bytes_but_for_a_block_a_shard(spark, old_shards, new_shards):
+    rng = random.Random(old_shards)
+    blocks = {(i, b): (rng.randint(50, 150), 1) for i in range(old_shards) for b in range(60)}
+    old = [sum(n for (i, _), (n, _) in blocks.items() if i == k) for k in range(old_shards)]
+    new = shard_flow._even(sum(old), new_shards)
+    placed = shard_flow.place_blocks(blocks, new)
+    moved = sum(n for (i, b), (n, _) in blocks.items() if placed[i, b] != i)
+    least = sum(max(0, n - (new[i] if i < new_shards else 0)) for i, n in enumerate(old))  # by counting, no flow
+    load = [sum(n for key, (n, _) in blocks.items() if placed[key] == j) for j in range(new_shards)]
+    assert max(load) - min(load) <= 150 and moved <= least + 150 * max(old_shards, new_shards)
+
+
 def test_weights(spark):
     made = spark.createDataFrame([document(i, "x" * 92) for i in range(1000)], SCHEMA)
     found = shard_flow.assign(made, shard_flow.hash_shard(2), 3, [2, 1, 1])
@@ -70,14 +103,27 @@ def test_weights(spark):
 def test_only_affected_files_are_written(spark, tmp_path):
     made = spark.createDataFrame([(i, "x" * 100, i % 4, "e") for i in range(400)] + [(1, "x" * 100, 1, "e"), (None, None, 2, "e")], "doc_id long, text string, shard int, extra string")
     made.write.partitionBy("shard").parquet(str(tmp_path / "old"))
-    told = {r["shard"]: r for r in shard_flow.reshard_files(spark, str(tmp_path / "old"), str(tmp_path / "new"), 4, [100, 100, 99, 60]).collect()}
+    told = {r["shard"]: r for r in shard_flow.reshard_files(spark, str(tmp_path / "old"), str(tmp_path / "new"), 5, [10800, 10908, 10808, 5400, 5400]).collect()}
     kept = [j for j, r in told.items() if r["action"] == "kept"]
     new = spark.read.parquet(str(tmp_path / "new"))
     assert not new.where(F.col("shard").isin(kept)).count() and new.columns[-1] == "shard"
+    with pytest.raises(ValueError):
+        shard_flow.reshard_files(spark, str(tmp_path / "old"), str(tmp_path / "old/new"), 4)
+    assert sorted(kept) == [0, 1, 2] and new.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).where("n <> d or m <> n - 1").count() == 0
     whole = new.select("doc_id", "text", "extra").unionByName(made.where(F.col("shard").isin(kept)).select("doc_id", "text", "extra"))
     assert whole.exceptAll(made.select("doc_id", "text", "extra")).count() == 0 and whole.count() == 402
 
 
+def test_copies_are_written_as_often_as_they_were(spark, tmp_path):
+    made = spark.range(500).selectExpr("cast(null as long) as doc_id", "'same' as text", "'e' as file", "cast(0 as int) as shard")
+    made = made.union(spark.range(300).selectExpr("id", "concat('t', id)", "'f'", "cast(1 + id % 2 as int)"))
+    made.write.partitionBy("shard").parquet(str(tmp_path / "old"))
+    told = shard_flow.reshard_files(spark, str(tmp_path / "old"), str(tmp_path / "new"), 5).collect()
+    new = spark.read.parquet(str(tmp_path / "new")).select("doc_id", "text", "file")
+    assert {r["action"] for r in told} == {"written"} and len(told) == 5
+    assert new.count() == 800 and new.exceptAll(made.select("doc_id", "text", "file")).count() == 0
+
+
 def test_shards_of_nothing(none):
     assert shard_flow.assign(none, shard_flow.hash_shard(4)).count() == 0
 
