@@ -1,17 +1,25 @@
 """Exact top-k by inner product with M-tree best-first search.
 
-Inner product is no metric, so every vector x gets one more coordinate, sqrt(M - |x|^2) with M the largest squared
-length, and every query a zero: then distance^2 = |q|^2 + M - 2 q.x, and the nearest are those of the highest inner
-product. Vectors are dealt over partitions; each builds an M-tree of pages: a page keeps its entries' distances to the
-page's pivot and a covering radius. A search takes pages in order of their lowest possible distance and ends when
-that exceeds the k-th best so far; an entry is skipped without computing its distance when |d(q, parent) -
-d(entry, parent)| already exceeds the bound plus the entry's radius. Bounds are kept in floating point with a margin,
-scores are exact integers. Each partition's k best of a query meet in a final top-k.
-
-Vectors are floor(SCALE * x). Defined results: a null vector, one with null or non-finite components or one of another
-length than most takes no part, as query or candidate; a null vec_id takes no part; of repeated ids every row is a
-candidate and each distinct (id, vector) a query once; ties go to the smaller vec_id; with fewer than k candidates, all; an
-empty table gives an empty result; extra columns are ignored.
+Vectors are floor(SCALE * x). Inner product is no metric, so within a tree every vector x gets one more coordinate,
+sqrt(M - |x|^2) with M the tree's largest squared length, and every query a zero: then distance^2 = |q|^2 + M - 2 q.x,
+and the nearest are those of the highest inner product.
+
+The root is one page of at most CELLS pivots, from a bounded sample: each vector belongs to its nearest pivot, and each
+cell has a covering radius. A cell is cut by hash into trees of at most TREE_BYTES; each tree is built once, in the task
+that searches it, of pages that keep their entries' distances to the page's pivot and a covering radius. The k-th best
+score of a query among the sample bounds its result from below, so a query goes only to the cells that can still reach
+it (q.pivot + |q| radius); the vectors travel once, whatever the number of queries. A search takes pages in order of
+their lowest possible distance and ends when that exceeds the k-th best so far; an entry is skipped without computing
+its distance when |d(q, parent) - d(entry, parent)| already exceeds the bound plus the entry's radius. Bounds are kept
+in floating point with a margin, scores are exact integers. The trees' k best of a query meet in a final top-k.
+
+Defined results: a null vector, one without components, with null or non-finite components (before or after scaling) or
+of another length than most takes no part, as query or candidate; a null vec_id takes no part; of repeated ids every row
+is a candidate of other ids' queries, and each distinct (id, vector) is a query of its own (told apart by ``nth``), of
+which no row of the same id is a candidate; ties go to the smaller vec_id; with fewer than k candidates, all; an empty
+table gives an empty result; extra columns are ignored. Components may have any size: where a product could leave 64
+bits, vectors are compared with Python's integers; a score beyond 64 bits is told as the nearest of -(2^63 - 1) and
+2^63 - 1, while ranks follow the exact score.
 """
 
 from __future__ import annotations
@@ -21,15 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import cut
 
 SCALE, K, EVERY, PAGE = 1024, 10, 100, 64
-#: Vectors of one tree at most, and queries of one block: what a task holds in memory.
-TREE, BLOCK = 65_536, 2_048
+#: Bytes of a tree's vectors, and of the sample that pivots and first bounds come from, at most.
+TREE_BYTES = 8 << 20
+#: Pivots of the root page, and rows a pivot is worth.
+CELLS, CELL_ROWS = 256, 2048
 MARGIN = 1e-6
+#: The largest score that is told as it is.
+TOP = (1 << 63) - 1
+#: The cell of vectors whose products may leave 64 bits; it has no pivot, every query goes there.
+WIDE = -1
 
 
 class Page:
@@ -70,22 +85,49 @@ def build(points: np.ndarray, rows: np.ndarray, pivot: np.ndarray, page: int = P
     return Page(np.array(heads), _far(np.array(heads), pivot), np.array(radii), None, children)
 
 
+def widest(d: int) -> int:
+    """Components up to this size in d dimensions: no sum of products leaves 62 bits."""
+    return int(np.sqrt((1 << 62) / max(d, 1))) - 1
+
+
 class MTree:
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, most: int, page: int = PAGE):
-        """vectors: integers; most: a number that no vector's squared length exceeds."""
-        self.vectors, self.ids, self.most = vectors, ids, most
-        lengths = (vectors**2).sum(axis=1)
-        self.points = np.concatenate([vectors, np.sqrt(most - lengths)[:, None]], axis=1).astype("f8")
+    """A tree over whole-number vectors given as doubles; ``copies``: how many rows each stands for."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, copies: np.ndarray | None = None, page: int = PAGE):
+        self.ids, self.copies = ids, np.ones(len(ids), "i8") if copies is None else copies
+        self.plain = bool(np.abs(vectors).max(initial=0) <= widest(vectors.shape[1]))
+        self.computed = 0
+        if not self.plain:
+            self.vectors = _exact(vectors)
+            return
+        self.vectors = vectors.astype("i8")
+        lengths = (self.vectors**2).sum(axis=1)
+        self.most = int(lengths.max())
+        self.points = np.concatenate([vectors, np.sqrt(self.most - lengths)[:, None]], axis=1)
         self.pivot = self.points[0]
         self.root = build(self.points, np.arange(len(ids)), self.pivot, page)
-        self.computed = 0
 
-    def search(self, query: np.ndarray, own: int | None, k: int = K) -> list[tuple[int, int]]:
-        """[(score, id)], best first; ``own``: an id that doesn't count."""
-        q = np.append(query, 0).astype("f8")
-        floor_ = float(query @ query) + self.most
+    def search(self, query: np.ndarray, own: int | None, k: int = K, least: float = -np.inf) -> list[tuple[int, int]]:
+        """[(score, id)], best first; ``own``: an id that doesn't count; ``least``: scores below it don't either."""
         best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst first
-        bound = np.inf
+
+        def meet(rows: np.ndarray, scores: list[int]) -> None:
+            self.computed += len(rows)
+            for score, i, n in zip(scores, self.ids[rows].tolist(), self.copies[rows].tolist(), strict=True):
+                for _ in range(min(n, k) if i != own else 0):
+                    if len(best) < k:
+                        heapq.heappush(best, (score, -i))
+                    elif (score, -i) > best[0]:
+                        heapq.heapreplace(best, (score, -i))
+
+        if not self.plain or np.abs(query).max(initial=0) > widest(len(query)):
+            rows = np.arange(len(self.ids))
+            vectors = self.vectors if not self.plain else self.vectors.astype(object)
+            meet(rows, list(vectors @ _exact(query)))
+            return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
+        whole, q = query.astype("i8"), np.append(query, 0.0)
+        floor_ = float(query @ query) + self.most
+        bound = np.inf if least == -np.inf else float(np.sqrt(max(floor_ - 2 * least, 0)))
         slack = MARGIN * (1 + np.sqrt(floor_))
         heap = [(0.0, 0, float(_far(q, self.pivot)), self.root)]
         n = 0
@@ -96,19 +138,13 @@ class MTree:
             near = np.flatnonzero(np.abs(parent - page.gap) - page.radii <= bound + slack)
             if not len(near):
                 continue
-            self.computed += len(near)
             if page.children is None:
                 rows = page.rows[near]
-                for score, i in zip((self.vectors[rows] @ query).tolist(), self.ids[rows].tolist(), strict=True):
-                    if i == own:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (score, -i))
-                    elif (score, -i) > best[0]:
-                        heapq.heapreplace(best, (score, -i))
+                meet(rows, (self.vectors[rows] @ whole).tolist())
                 if len(best) == k:
-                    bound = float(np.sqrt(max(floor_ - 2 * best[0][0], 0)))
+                    bound = min(bound, float(np.sqrt(max(floor_ - 2 * best[0][0], 0))))
             else:
+                self.computed += len(near)
                 d = _far(page.pivots[near], q)
                 for i, x in zip(near.tolist(), d.tolist(), strict=True):
                     lowest = max(0.0, x - page.radii[i])
@@ -118,55 +154,163 @@ class MTree:
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
 
 
+def _exact(x: np.ndarray) -> np.ndarray:
+    """Whole doubles of any size as Python's integers."""
+    return np.array([int(v) for v in x.ravel().tolist()], object).reshape(x.shape)
+
+
+def told(score: int) -> tuple[int, bytes]:
+    """(score within 64 bits, a key that puts scores beyond them in order)."""
+    if abs(score) < TOP:
+        return score, b""
+    return (TOP if score > 0 else -TOP), (score + (1 << 2175)).to_bytes(272, "big")
+
+
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id, x: array<long> of floor(scale * component); rows that take no part are left out."""
-    whole = F.transform("embedding", lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
-    fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding")).where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.coalesce(fine, F.lit(False)))
-    return rows.select("vec_id", whole.alias("x"))
+    """vec_id, d, x: floor(scale * component) as doubles in bytes, and wide: products may leave 64 bits; rows that take
+    no part are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("embedding")
+            sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0)).astype("i8")
+            with np.errstate(over="ignore", invalid="ignore"):
+                x = np.floor(scale * lists.flatten().to_numpy(zero_copy_only=False).astype("f8")) + 0.0  # no -0.0
+            rows = np.flatnonzero(sizes)
+            if not len(rows):
+                continue
+            first = (np.cumsum(sizes) - sizes)[rows]
+            fine = np.logical_and.reduceat(np.isfinite(x), first)
+            top = np.maximum.reduceat(np.abs(np.nan_to_num(x, posinf=0, neginf=0)), first)
+            wide = top > np.array([widest(d) for d in sizes[rows].tolist()])
+            rows, first, wide = rows[fine], first[fine], wide[fine]
+            body = [x[a : a + n].tobytes() for a, n in zip(first.tolist(), sizes[rows].tolist(), strict=True)]
+            columns = [batch.column("vec_id").take(pa.array(rows)), pa.array(sizes[rows].astype("i4")), pa.array(body, pa.binary()), pa.array(wide)]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "d", "x", "wide"])
+
+    known = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null")
+    return known.mapInArrow(run, "vec_id long, d int, x binary, wide boolean")
+
+
+def _matrix(column: pa.Array, d: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "f8").reshape(-1, d)
+
+
+def _cells(pivots: np.ndarray):
+    """Rows -> vec_id, x, cell of the nearest pivot, gap to it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                x, wide = _matrix(part.column("x"), pivots.shape[1]), part.column("wide").to_numpy(zero_copy_only=False)
+                cell, gap = np.full(len(x), WIDE), np.zeros(len(x))
+                plain = np.flatnonzero(~wide)
+                if len(plain) and len(pivots):
+                    own = x[plain]
+                    cell[plain] = ((pivots**2).sum(axis=1) - 2 * own @ pivots.T).argmin(axis=1)
+                    gap[plain] = _far(own, pivots[cell[plain]])
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("x"), pa.array(cell.astype("i4")), pa.array(gap)], names=["vec_id", "x", "cell", "gap"])
+
+    return run
+
+
+def _reach(pivots: np.ndarray, radii: dict[int, float], sample: np.ndarray, ids: np.ndarray, k: int):
+    """Queries -> vec_id, nth, x, least (a bound that the k-th best score does not fall below), cells that can hold more."""
+    cells = np.array(sorted(radii), "i8")
+    known = cells[cells != WIDE]
+    heads, radius = pivots[known], np.array([radii[c] for c in known])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, asked = _matrix(batch.column("x"), pivots.shape[1]), batch.column("vec_id").to_pylist()
+            wide = batch.column("wide").to_numpy(zero_copy_only=False)
+            least, reached = np.full(len(x), -np.inf), []
+            for i, (q, own) in enumerate(zip(x, asked, strict=True)):
+                if wide[i]:
+                    reached.append(cells.tolist())
+                    continue
+                scores = (sample @ q)[ids != own]
+                long = np.sqrt(q @ q)
+                if len(scores) >= k:
+                    least[i] = np.partition(scores, -k)[-k] - 1e-9 * (1 + long * np.sqrt((sample**2).sum(axis=1).max()))
+                most = heads @ q + long * radius
+                room = 1e-9 * (1 + long * (np.sqrt((heads**2).sum(axis=1)) + radius))
+                reached.append([*([WIDE] if WIDE in radii else []), *known[most + room >= least[i]].tolist()])
+            columns = [batch.column("vec_id"), batch.column("nth"), batch.column("x"), pa.array(least), pa.array(reached, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "nth", "x", "least", "cells"])
+
+    return run
+
+
+def _search(d: int, k: int, page: int):
+    """Rows sorted by tree (cell, sub), vectors before queries -> the k best of each query in each tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, tree = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([np.asarray(batch.column(c)).astype("i8") for c in ("cell", "sub", "kind")], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            out: list[tuple] = []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                part, (cell, sub, kind) = batch.slice(a, b - a), key[a].tolist()
+                if (cell, sub) != now:
+                    now, held, tree = (cell, sub), [], None
+                x, ids, n = _matrix(part.column("x"), d), np.asarray(part.column("vec_id")), np.asarray(part.column("n"))
+                if not kind:
+                    held.append((x, ids, n))
+                elif held or tree:
+                    if tree is None:
+                        tree, held = MTree(*(np.concatenate(y) for y in zip(*held, strict=True)), page=page), []
+                    least = np.asarray(part.column("least"))
+                    for q, own, nth, low in zip(x, ids.tolist(), n.tolist(), least.tolist(), strict=True):
+                        out += [(own, nth, i, *told(int(score))) for score, i in tree.search(q, own, k, low)]
+            q, nth, i, score, over = zip(*out, strict=True) if out else ((),) * 5
+            columns = [pa.array(q, pa.int64()), pa.array(nth, pa.int64()), pa.array(i, pa.int64()), pa.array(score, pa.int64()), pa.array(over, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "nth", "vec_id", "score", "over"])
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    flat = np.asarray(column.flatten())
-    return flat.reshape(len(column), -1)
+    return run
 
 
-def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, page: int = PAGE, tree: int = TREE, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: for every vec_id divisible by ``every`` its ``k`` best among all other rows."""
-    rows = integers(vectors)
-    told = rows.groupBy(F.size("x").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("x", F.lit(0).cast("long"), lambda a, v: a + v * v)).alias("m"))
-    most = told.orderBy(F.desc("n"), "d").first()
+def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, page: int = PAGE, tree_bytes: int = TREE_BYTES, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """query_id, nth (of the distinct vectors of that id), rank, vec_id, score: for every vec_id divisible by ``every``
+    its ``k`` best among the rows of all other ids."""
+    rows = cut(integers(vectors))
+    most = rows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
     if most is None:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.col("vec_id").alias("score")).where("false")
-    same = rows.where(F.size("x") == most["d"])
-    asked = cut(same.where(F.col("vec_id") % every == 0).distinct())
-    n_queries, n_rows = asked.count(), most["n"]
-    trees, blocks = -(-n_rows // tree), max(1, -(-n_queries // block))
-    # each tree's rows meet each block of queries; a block travels to every tree, the trees' rows once for each block
-    spread = max(trees, min(rows.sparkSession.sparkContext.defaultParallelism, -(-n_rows // (page * page))))
-    salt = F.xxhash64("vec_id", "x")
-    candidates = same.select("vec_id", "x", F.lit(False).alias("asks"), F.pmod(salt, F.lit(spread)).cast("int").alias("tree"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    queries = asked.select("vec_id", "x", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("tree"), F.pmod(salt, F.lit(blocks)).cast("int").alias("block"))
-    longest = most["m"]
-
-    def run(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(groups)
-        asks = np.asarray(table.column("asks").combine_chunks().to_numpy(zero_copy_only=False))
-        ids, x = np.asarray(table.column("vec_id")), _matrix(table.column("x").combine_chunks())
-        out: list[tuple[int, int, int]] = []
-        if asks.any() and not asks.all():
-            built = MTree(x[~asks], ids[~asks], longest, page)
-            out = [(int(q), i, s) for q, v in zip(ids[asks], x[asks], strict=True) for s, i in built.search(v, int(q), k)]
-        q, i, s = np.array(out, "i8").reshape(-1, 3).T
-        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], names=["query_id", "vec_id", "score"])
-
-    met = candidates.unionByName(queries).groupBy("tree", "block").applyInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("nth"), F.lit(0).alias("rank"), "vec_id", F.col("vec_id").alias("score")).where("false")
+    d, n_rows = most["d"], most["n"]
+    same = rows.where(F.col("d") == d).drop("d")
+    n_sample = max(4 * k, min(8 * CELLS, tree_bytes // (8 * d)))
+    drawn = same.where("not wide").orderBy(F.xxhash64("vec_id", "x"), "vec_id", "x").limit(n_sample).collect()  # tree_bytes at most
+    sample = np.array([np.frombuffer(r["x"], "f8") for r in drawn]).reshape(-1, d)
+    ids = np.array([r["vec_id"] for r in drawn], "i8")
+    pivots = np.array([np.frombuffer(x, "f8") for x in dict.fromkeys(bytes(r["x"]) for r in drawn)]).reshape(-1, d)[: min(CELLS, -(-n_rows // cell_rows))]
+    celled = same.mapInArrow(_cells(pivots), "vec_id long, x binary, cell int, gap double")
+    # rows alike in id and vector are one entry with a count
+    distinct = celled.groupBy("cell", "vec_id", "x").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("gap"))
+    stats = distinct.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("gap")).collect()  # a row a cell
+    entries = max(page, tree_bytes // (8 * d))
+    subs = vectors.sparkSession.createDataFrame([(r["cell"], -(-r["n"] // entries)) for r in stats], "cell int, subs int")
+    radii = {r["cell"]: r["gap"] * (1 + 1e-12) for r in stats}
+    asked = same.where(F.col("vec_id") % every == 0).distinct()
+    asked = asked.withColumn("nth", F.row_number().over(Window.partitionBy("vec_id").orderBy("x")).cast("long"))
+    reached = asked.mapInArrow(_reach(pivots, radii, sample, ids, k), "vec_id long, nth long, x binary, least double, cells array<int>")
+    queries = reached.select("vec_id", F.col("nth").alias("n"), "x", "least", F.explode("cells").alias("cell")).join(F.broadcast(subs), "cell")  # CELLS + 1 rows
+    queries = queries.select("cell", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), F.lit(1).alias("kind"), "vec_id", "x", "n", "least")
+    own = F.pmod(F.xxhash64("vec_id", "x"), F.col("subs")).cast("int")
+    entries = distinct.join(F.broadcast(subs), "cell").select("cell", own.alias("sub"), F.lit(0).alias("kind"), "vec_id", "x", "n", F.lit(None).cast("double").alias("least"))
+    met = entries.unionByName(queries).repartition("cell", "sub").sortWithinPartitions("cell", "sub", "kind")
+    found = met.mapInArrow(_search(d, k, page), "query_id long, nth long, vec_id long, score long, over binary")
+    order = Window.partitionBy("query_id", "nth").orderBy(F.desc("score"), F.desc("over"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("nth").cast("int"), F.col("rank").cast("int"), "vec_id", "score")
 
 
 def op9_mtree(spark, sf_dir: str) -> DataFrame:
-    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("nth")
 
 
 OP9_SQL = """

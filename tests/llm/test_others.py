@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SCHEMA, bag, document, words
 from hypothesis import given, settings
@@ -271,11 +272,12 @@ def test_tree_search_is_exact(kind):
     else:
         x = np.repeat(rng.integers(-2, 3, (30, 8)), 30, axis=0)
     ids = rng.permutation(5000)[:900]
-    tree = mtree.MTree(x, ids, int((x**2).sum(axis=1).max()), 16)
+    tree = mtree.MTree(x.astype("f8"), ids, page=16)
     vectors = dict(zip(ids.tolist(), x, strict=True))
     want = brute_top(vectors, ids[::40].tolist(), 10)
     for q in want:
-        assert tree.search(vectors[q], q) == want[q]
+        assert tree.search(vectors[q].astype("f8"), q) == want[q]
+        assert tree.search(vectors[q].astype("f8"), q, least=want[q][-1][0] - 0.5) == want[q]
     if kind == "clustered":
         assert tree.computed < 0.7 * len(want) * len(ids)
 
@@ -286,7 +288,7 @@ def test_top_k_over_partitions_and_blocks(spark):
     rows += [(400, None, 1, "e"), (500, [None, *[0.1] * 5], 1, "e"), (600, [float("nan")] * 6, 1, "e"), (None, [0.1] * 6, 1, "e"), (700, [1.0], 1, "e"), (800, [], 1, "e"), (41, rows[41][1], 1, "e")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, x string").repartition(5)
     found = {}
-    for r in mtree.top_k(table, page=8, tree=90, block=2).orderBy("query_id", "rank").collect():
+    for r in mtree.top_k(table, page=8, tree_bytes=40 * 48, cell_rows=90).orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
     vectors = {i: np.floor(1024 * np.array(v, "f8")).astype("i8") for i, v, _, _ in rows[:400]}
     for q in (0, 100, 200, 300):
@@ -295,6 +297,47 @@ def test_top_k_over_partitions_and_blocks(spark):
     assert set(found) == {0, 100, 200, 300}
 
 
+def brute_rows(rows, k=10, every=100):
+    """{(id, vector): [(score, id)]} by Python's integers."""
+    whole = [(i, tuple(int(np.floor(1024 * float(np.float32(c)))) for c in v)) for i, v in rows]
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    return {(i, v): sorted(((dot(v, w), j) for j, w in whole if j != i), key=lambda x: (-x[0], x[1]))[:k] for i, v in whole if i % every == 0}
+
+
+def test_top_k_of_repeated_ids_and_large_components(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3).astype("f4").tolist()) for i in range(1, 60)]
+    rows += [(0, [1.0, 0.0, 0.0]), (0, [0.0, -1.0, 0.0]), (0, [0.0, -1.0, 0.0]), (100, [5e6, 4e6, 1.0]), (200, [-3e38, 3e38, 0.0]), (201, [3e38, 3e38, 1.0]), (202, [4e6, 5e6, 0.0])]
+    rows += [(7, rows[7][1])] * 40 + [(203, [2.0, 2.0, 2.0])] * 30
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    found = {}
+    for r in mtree.top_k(table, page=4, tree_bytes=24 * 20, cell_rows=10).orderBy("query_id", "nth", "rank").collect():
+        found.setdefault((r["query_id"], r["nth"]), []).append((r["score"], r["vec_id"]))
+    clip = lambda s: max(-mtree.TOP, min(mtree.TOP, s))
+    want = brute_rows(rows)
+    assert {q for q, _ in found} == {0, 100, 200} and len(found) == len(want) == 4
+    for i in (0, 100, 200):
+        mine = sorted(v for (q, _), v in found.items() if q == i)
+        assert mine == sorted([(clip(s), j) for s, j in v] for (q, _), v in want.items() if q == i)
+
+
+def test_vectors_travel_once_and_bounds_prune(spark):
+    rng = np.random.default_rng(10)
+    centres = 30 * rng.normal(size=(12, 8))
+    rows = [(i, (centres[i % 12] + 0.01 * rng.normal(size=8)).astype("f4").tolist()) for i in range(2400)]
+    plain = [(i, v) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {}
+    for r in mtree.top_k(table, cell_rows=100).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    assert found == {i: v for (i, _), v in brute_rows(plain).items()}
+    x = np.floor(1024 * np.array([v for _, v in rows], "f8"))
+    pivots, radii = x[:12], {c: 2000.0 for c in range(12)}
+    asked = pa.record_batch([pa.array([0], pa.int64()), pa.array([1], pa.int64()), pa.array([x[0].tobytes()], pa.binary()), pa.array([False])], names=["vec_id", "nth", "x", "wide"])
+    (out,) = mtree._reach(pivots, radii, x[:600], np.arange(600), 10)(iter([asked]))
+    assert 0 < len(out.column("cells")[0]) < 6
+
+
 def test_top_k_of_few_and_of_nothing(spark):
     schema = "vec_id long, embedding array<float>"
     assert mtree.top_k(spark.createDataFrame([], schema)).count() == 0
