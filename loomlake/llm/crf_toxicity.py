@@ -1,18 +1,22 @@
 """Toxicity by a linear-chain conditional random field.
 
 Labelled documents give labelled tokens: words and beginnings of words that toxic documents use far more often than clean
-ones, by a likelihood-ratio test, mark their tokens in toxic documents. A two-state chain over the tokens of a sentence, with the word, its beginnings, its length, its
-shape and its neighbours as features, is trained on these by stochastic gradients of the exact likelihood (forward-backward). Scoring runs
-forward-backward over every sentence of every document; the marginals give the offending spans, and a logistic
-calibration of their maximum and their sum gives the document's score.
+ones, by a likelihood-ratio test, mark their tokens in toxic documents. A two-state chain over the tokens of a sentence,
+with the word, its beginnings, its length, its shape and its neighbours as features, is trained on these by stochastic
+gradients of the exact likelihood (forward-backward). Scoring runs forward-backward over every sentence of every document;
+the marginals give the offending spans, and a logistic calibration of their maximum and their sum gives the document's
+score.
 
-The training sample is bounded by TRAIN_DOCS and TRAIN_BYTES and taken by hash of the id; scoring covers all rows and
-whole texts. Sentences end at . ! ? or a line end; one of over CHAIN tokens is continued as a new chain.
+The training sample alone is bounded: of each label the first TRAIN_DOCS ids by hash, until their texts come to
+TRAIN_BYTES; its rows train with all their sentences. Scoring covers all rows and whole texts. Sentences end at . ! ? or
+a line end and are one chain, however long: a chain is computed in pieces of SPAN tokens, whose messages are exact.
 
 Defined results: null or empty text, or text without words, gets the score of a document without any toxic token;
-labels that are null are left out, and of several labels of one id the highest counts; without labels of both classes
-every score is the share of toxic labels (0 if there is none); repeated rows give repeated rows; an empty table gives
-an empty result; extra columns are ignored.
+labels that are null are left out, and of several labels of one id the highest counts, as of several rows of a labelled
+id the smallest text; without labels of both classes every score is the share of toxic labels (0 if there is none); a
+null doc_id is in no fold, so not held out, and trains nothing; repeated rows give repeated rows; an empty table gives an
+empty result; extra columns are ignored. Offsets of spans are code points of the text as it is: tokens are found in it
+and lower-cased one by one.
 """
 
 from __future__ import annotations
@@ -23,20 +27,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._shared import documents, pieces
 
-TRAIN_DOCS, TRAIN_BYTES, CHAIN = 2000, 64 << 10, 64
+TRAIN_DOCS, TRAIN_BYTES, SPAN = 1500, 16 << 20, 64
 FOLDS = 5
 #: A word or beginning marks tokens of toxic documents from this many times the clean rate on, and from a likelihood
 #: ratio that chance reaches for one in exp(SURE / 2) of samples, all features that are tried taken together.
 TIMES, SURE = 8.0, 6.0
+#: Sentences of one training step, and steps that training takes at least: few sentences are gone through more often.
+BATCH, STEPS = 128, 1500
 BEGINNINGS = (9, 8, 7, 6, 5, 4, 3)
 TELLING = slice(0, 1 + len(BEGINNINGS))
-CLEAN_SENTENCES = 12
 #: The slot of all features that training has not met or does not use; its weight stays 0.
 SPARE = 0
 REMEMBERED = 400_000
@@ -45,41 +50,75 @@ ENDS = frozenset(".!?\n")
 
 
 def features(word: str) -> list[str]:
-    """What the chain sees of the word itself: the word, its beginnings from the longest on, its length, its shape;
-    "" where it is too short for a beginning. Neighbours see the word alone."""
+    """What the chain sees of the word itself, in lower case: the word, its beginnings from the longest on, its length,
+    its shape; "" where it is too short for a beginning. Neighbours see the word alone."""
+    word = word.lower()
     shape = "digit" if word.isdigit() else "mixed" if not word.isalpha() else "plain"
     return [f"w={word}", *(f"{k}={word[:k]}" if len(word) > k else "" for k in BEGINNINGS), f"n={min(len(word), 12)}", shape]
 
 
 def chains(ends: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, lengths) of the chains among tokens: runs without sentence ends, within a document, cut at CHAIN."""
+    """(starts, lengths) of the chains among tokens: runs without sentence ends, within a document."""
     word = np.flatnonzero(~ends)
     if not len(word):
         return word, word
-    new = np.concatenate([[True], (np.diff(word) > 1) | (np.diff(docs[word]) > 0)])
-    first = np.flatnonzero(new)
-    length = np.diff(np.concatenate([first, [len(word)]]))
-    parts = -(-length // CHAIN)
-    step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    return np.repeat(word[first], parts) + step * CHAIN, np.minimum(np.repeat(length, parts) - step * CHAIN, CHAIN)
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(word) > 1) | (np.diff(docs[word]) > 0)]))
+    return word[first], np.diff(np.concatenate([first, [len(word)]]))
 
 
-def marginals(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, move: np.ndarray, begin: float) -> tuple[np.ndarray, np.ndarray]:
+def _messages(w: np.ndarray, m: np.ndarray, starts: np.ndarray, lengths: np.ndarray, parts: np.ndarray, pre: np.ndarray, post: np.ndarray) -> None:
+    """Set what comes into each piece from the left (``pre``) and the right (``post``), for chains of several pieces.
+
+    A piece is a 2 x 2 matrix; the matrices of all pieces are computed side by side, their chains piece by piece.
+    """
+    first = np.cumsum(parts) - parts
+    long = np.flatnonzero(parts > 1)
+    of = np.concatenate([np.arange(first[c], first[c] + parts[c]) for c in long])
+    order = of[np.argsort(-lengths[of], kind="stable")]
+    at, size = starts[order], lengths[order]
+    through = np.zeros((len(order), 2, 2))
+    through[:, 0, 0], through[:, 1, 1] = 1, w[at]
+    for t in range(1, int(size[0])):
+        n = int(np.searchsorted(-size, -t, side="left"))
+        step = through[:n] @ m
+        step[:, :, 1] *= w[at[:n] + t, None]
+        through[:n] = step / step.sum(axis=(1, 2))[:, None, None]
+    matrix = np.empty((len(lengths), 2, 2))
+    matrix[order] = through / through.sum(axis=(1, 2))[:, None, None]
+    long = long[np.argsort(-parts[long], kind="stable")]
+    for r in range(1, int(parts[long[0]])):
+        own = first[long[parts[long] > r]] + r
+        v = ((pre[own - 1][:, None, :] @ matrix[own - 1]) @ m)[:, 0, :]
+        pre[own] = v / v.sum(axis=1)[:, None]
+        own = first[long[parts[long] > r]] + parts[long[parts[long] > r]] - r
+        v = (m @ (matrix[own] @ post[own][:, :, None]))[:, :, 0]
+        post[own - 1] = v / v.sum(axis=1)[:, None]
+
+
+def marginals(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, move: np.ndarray, begin: float, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """Forward-backward over chains of two states.
 
     emit: log-odds of state 1 for each token; move: 2 x 2 log-weights; begin: log-odds of state 1 at a chain's start.
-    Returns P(state 1) of each token (0 outside chains) and the expected number of each transition.
+    Returns P(state 1) of each token (0 outside chains) and the expected number of each transition. Chains of over
+    ``span`` tokens are computed in pieces of that many; the results do not depend on it.
     """
     p, pairs = np.zeros(len(emit)), np.zeros((2, 2))
     if not len(starts):
         return p, pairs
-    order = np.argsort(-lengths, kind="stable")
-    starts, lengths = starts[order], lengths[order]
-    alive = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(int(lengths[0]))]  # chains of more than t tokens
     w, m = np.exp(np.clip(emit, -30, 30)), np.exp(move)
+    parts = -(-lengths // span)
+    chain = np.repeat(np.arange(len(parts)), parts)
+    step = np.arange(parts.sum()) - (np.cumsum(parts) - parts)[chain]
+    starts, lengths = starts[chain] + span * step, np.minimum(lengths[chain] - span * step, span)
+    pre, post = np.tile([1.0, np.exp(begin)], (len(starts), 1)), np.full((len(starts), 2), 0.5)
+    if parts.max() > 1:
+        _messages(w, m, starts, lengths, parts, pre, post)
+    order = np.argsort(-lengths, kind="stable")
+    starts, lengths, pre, post, inner = starts[order], lengths[order], pre[order], post[order], step[order] > 0
+    alive = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(int(lengths[0]))]  # pieces of more than t tokens
     one = np.zeros(len(emit))  # forward, scaled: P(state 1 | tokens so far)
-    now = w[starts] * np.exp(begin)
-    now = now / (1 + now)
+    now = pre[:, 1] * w[starts]
+    now = now / (pre[:, 0] + now)
     one[starts] = now
     for t in range(1, len(alive)):
         n = alive[t]
@@ -87,23 +126,24 @@ def marginals(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, move: n
         a0, a1 = (1 - now) * m[0, 0] + now * m[1, 0], ((1 - now) * m[0, 1] + now * m[1, 1]) * w[starts[:n] + t]
         now = a1 / (a0 + a1)
         one[starts[:n] + t] = now
-    b1 = np.full(len(starts), 0.5)  # backward, scaled: share of state 1
+    b1 = post[:, 1] / post.sum(axis=1)  # backward, scaled: share of state 1
     for t in range(len(alive) - 1, -1, -1):
         n = alive[t]
         at = starts[:n] + t
         x1, x0 = one[at] * b1[:n], (1 - one[at]) * (1 - b1[:n])
         p[at] = x1 / (x0 + x1)
+        use = slice(0, n) if t else np.flatnonzero(inner)  # tokens that have one before them in the chain
+        f1, e1, e0 = one[starts[use] + t - 1], w[starts[use] + t] * b1[use], 1 - b1[use]
+        joint = np.stack([(1 - f1) * m[0, 0] * e0, (1 - f1) * m[0, 1] * e1, f1 * m[1, 0] * e0, f1 * m[1, 1] * e1])
+        pairs += (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
         if t:
-            f1, e1, e0 = one[at - 1], w[at] * b1[:n], 1 - b1[:n]
-            joint = np.stack([(1 - f1) * m[0, 0] * e0, (1 - f1) * m[0, 1] * e1, f1 * m[1, 0] * e0, f1 * m[1, 1] * e1])
-            pairs += (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
             c0, c1 = m[0, 0] * e0 + m[0, 1] * e1, m[1, 0] * e0 + m[1, 1] * e1
             b1[:n] = c1 / (c0 + c1)
     return p, pairs
 
 
 def tokens(texts: list[str]) -> list[list[str]]:
-    return [TOKENS.findall(x.lower()) for x in texts]
+    return [TOKENS.findall(x) for x in texts]
 
 
 class Chain:
@@ -227,7 +267,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
     if len(set(labels)) < 2:
         chain.prior = float(y.mean()) if len(y) else 0.0
         return chain
-    found = tokens(texts)
+    found = [[w.lower() for w in x] for x in tokens(texts)]
     alone = one_of_copies(found)
     if len({labels[i] for i in alone}) == 2:
         found, y = [found[i] for i in alone], y[alone]
@@ -246,11 +286,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
         ends = np.array([w in ENDS for w in words], bool)
         starts, lengths = chains(ends, np.zeros(len(words), int))
         own = [words[s : s + n] for s, n in zip(starts, lengths, strict=True)]
-        hit = [bool(toxic) and any(w in marked for w in x) for x in own]
-        rest = [x for x, h in zip(own, hit, strict=True) if not h]
-        picked = rng.permutation(len(rest))[:CLEAN_SENTENCES]
-        sentences += [(x, [int(w in marked) for w in x]) for x, h in zip(own, hit, strict=True) if h]
-        sentences += [(rest[i], [0] * len(rest[i])) for i in picked]
+        sentences += [(x, [int(bool(toxic) and w in marked) for w in x]) for x in own]
     # words met once stay without a slot, as words never met have none; beginnings are used if they tell something
     often = Counter(w for x, _ in sentences for w in x)
     own = {w: features(w) for w in often}
@@ -259,10 +295,10 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
     weights = (chain.here, chain.before, chain.after)
     grown = [np.full(len(w), 1e-3) for w in weights]
     width = len(features("x"))
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS * BATCH // max(len(sentences), 1)))):
         order = rng.permutation(len(sentences))
-        for start in range(0, len(order), 64):
-            part = [sentences[i] for i in order[start : start + 64]]
+        for start in range(0, len(order), BATCH):
+            part = [sentences[i] for i in order[start : start + BATCH]]
             lengths = np.array([len(x) for x, _ in part])
             starts = np.cumsum(lengths) - lengths
             here = np.array([slots[w] for x, _ in part for w in x])
@@ -304,28 +340,34 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 7) -
     return chain
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, column: str, per_class: int, most_bytes: int, folds: int | None = FOLDS) -> list:
-    """Up to ``per_class`` rows (text, label, and other columns of docs) of each label, by hash of the id.
+def training_rows(docs: DataFrame, labels: DataFrame, column: str, per_class: int, most_bytes: int, folds: int | None = FOLDS) -> tuple[list, dict[int, int]]:
+    """(rows: id_, y_ and the columns of docs, one for each chosen id; numbers of ids by label, before choosing).
 
-    Rows whose crc32(doc_id as text) is 0 modulo ``folds`` are left out (None: all take part), as are texts of over
-    ``most_bytes``. The chosen ids, at most 2 x ``per_class``, are broadcast.
+    Of each label the first ``per_class`` ids by hash, until their texts come to ``most_bytes``; no text is left out for
+    its length. Ids whose crc32 (as text) is 0 modulo ``folds`` are left out (None: all take part). Of several rows of
+    an id that of the smallest text counts. The chosen ids, at most 2 x ``per_class``, are broadcast.
     """
+    spark = docs.sparkSession
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds if folds else F.lit(1)
-    known = labels.select("doc_id", F.col(column).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(fold != 0)
-    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
-    chosen = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(per_class) for y in (0, 1)]
-    ids = [(r["doc_id"], r["y"]) for part in chosen for r in part.collect()]
-    table = docs.sparkSession.createDataFrame(ids, "id_ long, y_ int")
+    known = labels.select(F.col("doc_id").cast("long").alias("id_"), "doc_id", F.col(column).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(fold != 0)
+    known = known.groupBy("id_").agg(F.max("y").alias("y_"))
+    order = F.xxhash64("id_", F.lit("train"))
+    totals = {0: 0, 1: 0} | {r["y_"]: r["n"] for r in known.groupBy("y_").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = [(r["id_"], r["y_"]) for y in (0, 1) for r in known.where(F.col("y_") == y).orderBy(order, "id_").limit(per_class).collect()]
+    table = spark.createDataFrame(chosen, "id_ long, y_ int")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.where(F.octet_length(text) <= most_bytes).join(F.broadcast(table), F.col("doc_id") == F.col("id_"))
-    return sorted(rows.collect(), key=lambda r: (r["id_"], r["text"] or ""))
+    row = F.struct(text.alias("text"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+    rows = docs.join(F.broadcast(table), F.col("doc_id").cast("long") == F.col("id_")).groupBy("id_", "y_").agg(F.min(row).alias("row"))
+    before = Window.partitionBy("y_").orderBy(order, "id_").rowsBetween(Window.unboundedPreceding, -1)
+    fitting = rows.withColumn("before_", F.coalesce(F.sum(F.octet_length("row.text")).over(before), F.lit(0))).where(F.col("before_") < most_bytes)
+    return sorted(fitting.select("id_", "y_", "row.*").collect(), key=lambda r: r["id_"]), totals
 
 
 def spans(text: str, p: list[float], least: float = 0.5) -> list[tuple[int, int, float]]:
     """(start, end, highest marginal) in code points of the runs of tokens at ``least`` or more."""
     out: list[tuple[int, int, float]] = []
     last = -2
-    for i, m in enumerate(TOKENS.finditer(text.lower())):
+    for i, m in enumerate(TOKENS.finditer(text)):
         if p[i] >= least:
             if i == last + 1:
                 out[-1] = (out[-1][0], m.end(), max(out[-1][2], p[i]))
@@ -339,7 +381,7 @@ SCHEMA = "doc_id long, score double, spans array<struct<start: int, end: int, p:
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
-    """doc_id, score and the offending spans (offsets into the lower-cased text) of every row of ``docs``."""
+    """doc_id, score and the offending spans (code points of the text) of every row of ``docs``."""
     shipped = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by the training sample, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,12 +399,12 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Chain:
-    rows = training_rows(docs.select("doc_id", "text"), labels, "toxic", per_class, TRAIN_BYTES)
-    return train([r["text"] or "" for r in rows], [r["y_"] for r in rows])
+    rows, _ = training_rows(docs.select("doc_id", "text"), labels, "toxic", per_class, TRAIN_BYTES)
+    return train([r["text"] for r in rows], [r["y_"] for r in rows])
 
 
 def op10_crf_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"), "spans")

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -58,14 +59,124 @@ def test_quality_of_odd_rows(docs, none, rows, corpus, spark):
     assert cotrain.score(docs, cotrain.fit(docs, spark.createDataFrame([], LABELS))).where("score <> 1").count() == 0
 
 
-def test_views_exchange_labels():
-    base = made(300, 3)
-    rng = np.random.default_rng(0)
-    labelled = [(t, "en", "s", int(not j), int(rng.integers(0, 5))) for _, t, j, _ in base[:60]]
-    model = cotrain.co_train(labelled, [(t, "en", "s") for _, t, _, _ in base[60:]], rounds=3, per_round=40)
-    alone = cotrain.co_train(labelled, [], rounds=1)
-    assert model.prior is None and alone.prior is None
-    assert not np.allclose(model.content, alone.content) and not np.allclose(model.page, alone.page)
+def brute_views(text, lang, source, size):
+    """What the views see of one document, counted one by one."""
+    found, before, slots = (text or "").encode().split(), None, {}
+    for w in found:
+        own = cotrain.word_slot(w)
+        slot = cotrain.REPEAT if own == before else own
+        before, slots[slot] = own, slots.get(slot, 0) + 1
+    raw = (text or "").encode()
+    shares = [min(1.0, 5 * sum(raw.count(c) for c in cls) / max(len(raw), 1)) for cls in cotrain.CLASSES.values()]
+    bits = cotrain.SIZES - 1 if size is None or size < 0 else min(size.bit_length(), cotrain.SIZES - 2)
+    page = [zlib.crc32(repr(lang).encode()) % cotrain.LANGS, cotrain.LANGS + zlib.crc32(repr(source).encode()) % cotrain.SOURCES, cotrain.LANGS + cotrain.SOURCES + bits]
+    return slots, shares, page
+
+
+def brute_odds(model, views):
+    slots, shares, page = views
+    n = max(sum(slots.values()), 1)
+    mean = sum(k * model.content_ratio[t] for t, k in slots.items()) / n
+    telling = sum(k for t, k in slots.items() if model.content_ratio[t] < -1) / n
+    content = [mean, telling, slots.get(cotrain.REPEAT, 0) / n, *shares, 1.0]
+    return sum(a * b for a, b in zip(content, model.content, strict=True)), sum(model.page_ratio[t] * c for t, c in zip(page, model.page, strict=False)) + model.page[-1]
+
+
+def told_by(i, junk):
+    """Metadata that tells most junk: half of its rows have a source of their own."""
+    return ("en", "dump" if junk and i % 2 else f"s{i % 3}", 100 if junk else 5000)
+
+
+@pytest.fixture(scope="module")
+def exchanged(spark):
+    base = made(400, 3)
+    rows = [(i, t, *told_by(i, j)[:2], told_by(i, j)[2]) for i, t, j, _ in base]
+    docs = spark.createDataFrame([*rows, (None, "", None, None, None), (None, None, "xx", "dump", -1)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    labels = spark.createDataFrame([(i, int(not j)) for i, _, j, _ in base[:200]], "doc_id long, quality int")
+    return docs, labels, cotrain.fit(docs, labels), cotrain.fit(docs, labels, 0)
+
+
+def test_scores_of_both_views_equal_brute_force(spark, exchanged):
+    docs, _, model, _ = exchanged
+    found = {(r["doc_id"], r["lang"]): r for r in cotrain.score(docs, model).join(docs, "doc_id").collect() if r["doc_id"] is not None}
+    for r in found.values():
+        a, b = brute_odds(model, brute_views(r["text"], r["lang"], r["source"], r["n_chars"]))
+        logistic = lambda v: 1 / (1 + np.exp(-v))
+        assert abs(r["content_score"] - logistic(a)) < 1e-9 and abs(r["page_score"] - logistic(b)) < 1e-9
+        assert abs(r["score"] - logistic(a * model.combine[0] + b * model.combine[1] + model.combine[2])) < 1e-9
+        assert r["kept"] == (r["score"] >= cotrain.KEEP)
+
+
+def test_views_exchange_what_they_are_sure_of(spark, exchanged):
+    docs, labels, model, alone = exchanged
+    known = labels.select(F.col("doc_id").alias("id_"))
+    tokens, pages = cotrain.exchange_over(cotrain.bags(docs, known))(model)
+    want = {0: {}, 1: {}}, {0: {}, 1: {}}
+    ids = {r["id_"] for r in known.collect()}
+    passed = [0, 0]
+    for r in docs.collect():
+        if r["doc_id"] in ids:
+            continue
+        views = brute_views(r["text"], r["lang"], r["source"], r["n_chars"])
+        for k, odds in enumerate(reversed(brute_odds(model, views))):
+            p = 1 / (1 + np.exp(-odds))
+            label = 1 if p >= cotrain.SURE[1] else 0 if 1 - p >= cotrain.SURE[0] else None
+            if label is not None:
+                passed[k] += 1
+                for slot, n in views[0].items() if not k else [(s, 1) for s in views[2]]:
+                    want[k][label][slot] = want[k][label].get(slot, 0) + n
+    for k, got in enumerate((tokens, pages)):
+        for y in (0, 1):
+            assert {int(t): int(got[y, t]) for t in np.flatnonzero(got[y])} == want[k][y]
+    assert min(passed) > 20  # both ways
+    assert not np.allclose(model.content_ratio, alone.content_ratio) and not np.allclose(model.page_ratio, alone.page_ratio)
+
+
+def test_ratios_bound_what_was_passed_on():
+    known, passed = np.array([[6, 2, 5], [1, 7, 0]]), np.array([[0, 100, 1], [300, 100, 0]])
+    out = cotrain.ratios(known, passed, [slice(0, 2), slice(2, 3)])
+    poor, good = np.array([6, 2 + 100 * 8 / 100]) + 1, np.array([1 + 300 * 8 / 400, 7 + 100 * 8 / 400]) + 1
+    assert np.allclose(out[:2], np.log(good / good.sum()) - np.log(poor / poor.sum())) and out[2] == 0
+
+
+def test_dense_fits_are_the_optimum():
+    rng = np.random.default_rng(4)
+    x, weight = rng.normal(size=(200, 3)), rng.uniform(0.5, 4, 200)
+    y = (x[:, 0] + rng.normal(size=200) > 0).astype(float)
+    w = cotrain.fit_dense(x, y, weight, 1e-2)
+
+    def loss(v):
+        z = x @ v
+        return (weight * (np.logaddexp(0, z) - y * z)).sum() / weight.sum() + 0.005 * v @ v
+
+    assert all(loss(w) < loss(w + d) for d in rng.normal(size=(200, 3)) * 0.01)
+
+
+def test_rounds_end_when_nothing_changes():
+    base = made(120, 5)
+    asked = []
+
+    def exchange(model):
+        asked.append(model)
+        return np.zeros((2, cotrain.WORDS), "i8"), np.zeros((2, cotrain.PAGE), "i8")
+
+    views = cotrain.Bags.of(cotrain.Views(), [t for _, t, _, _ in base], ["en"] * 120, ["s"] * 120, [None] * 120)
+    model = cotrain.co_train(views, np.array([int(not j) for _, _, j, _ in base]), np.arange(120) // 5 % 5, np.ones(120), exchange)
+    assert len(asked) == 1 and model.prior is None
+
+
+def test_training_rows_are_one_an_id_and_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * 100, "a") for i in range(50)] + [(3, "aaa", "b"), (3, "zzz", "c"), (7, None, "n"), (8, "y" * 200_000, "long")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(50)] + [(9, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    rows, totals = crf_toxicity.training_rows(docs, labels, "quality", 1000, 1 << 30, None)
+    assert [r["id_"] for r in rows] == list(range(50)) and totals == {0: 25, 1: 25}
+    assert rows[3]["text"] == "aaa" and rows[3]["lang"] == "b" and rows[7]["text"] == "" and len(rows[8]["text"]) == 100
+    few, _ = crf_toxicity.training_rows(docs, labels, "quality", 10, 1 << 30, None)
+    assert [sum(r["y_"] == y for r in few) for y in (0, 1)] == [10, 10]
+    small, _ = crf_toxicity.training_rows(docs, labels, "quality", 1000, 450, None)
+    assert all(1 <= sum(r["y_"] == y for r in small) <= 7 for y in (0, 1)) and {r["id_"] for r in small} <= set(range(50))
+    folded, _ = crf_toxicity.training_rows(docs, labels, "quality", 1000, 1 << 30)
+    assert {r["id_"] for r in folded} == {i for i in range(50) if zlib.crc32(str(i).encode()) % 5}
 
 
 def test_toxicity_on_the_held_out_fold(spark, corpus):
@@ -121,11 +232,100 @@ def test_marginals_equal_enumeration():
         assert np.allclose(p, want) and np.allclose(pairs, seen)
 
 
-def test_long_chains_are_cut_and_nothing_is_left_out():
+def test_marginals_do_not_depend_on_the_pieces():
+    rng = np.random.default_rng(6)
+    lengths = np.array([1, 40, 3, 25, 8, 129])
+    emit, move = 3 * rng.normal(size=lengths.sum()), rng.normal(size=(2, 2))
+    starts = np.cumsum(lengths) - lengths
+    whole, pairs = crf_toxicity.marginals(emit, starts, lengths, move, 0.3, 1000)
+    for span in (1, 2, 3, 8, 64, 128):
+        p, q = crf_toxicity.marginals(emit, starts, lengths, move, 0.3, span)
+        assert np.allclose(p, whole) and np.allclose(q, pairs)
+
+
+def test_sentences_are_chains_however_long():
     ends = np.array([False] * 200 + [True] + [False] * 3)
     starts, lengths = crf_toxicity.chains(ends, np.array([0] * 150 + [1] * 54))
-    covered = sorted(i for s, n in zip(starts, lengths, strict=True) for i in range(s, s + n))
-    assert covered == np.flatnonzero(~ends).tolist() and max(lengths) <= crf_toxicity.CHAIN
+    assert starts.tolist() == [0, 150, 201] and lengths.tolist() == [150, 50, 3]
+
+
+def brute_score(chain, text):
+    """(score, spans) of a text by a field's weights: one token after the other, logs of sums of products."""
+    import re
+
+    found = list(re.finditer(r"\w+|[.!?\n]", text))
+    p = [0.0] * len(found)
+    i = 0
+    while i < len(found):
+        j = i
+        while j < len(found) and found[j][0] not in ".!?\n":
+            j += 1
+        words_ = [m[0].lower() for m in found[i:j]]
+        slot = [[chain.index.get(f, 0) for f in crf_toxicity.features(w)] for w in words_]
+        emit = [chain.bias + sum(chain.here[s] for s in own) + (chain.before[slot[t - 1][0]] if t else 0) + (chain.after[slot[t + 1][0]] if t + 1 < len(slot) else 0) for t, own in enumerate(slot)]
+        weight = lambda t, y: emit[t] if y else 0.0  # noqa: E731, B023
+        ahead, back = [], [[0.0, 0.0] for _ in words_]
+        for t in range(len(words_)):
+            if not t:
+                ahead.append([weight(0, 0), weight(0, 1) + chain.begin])
+            else:
+                ahead.append([weight(t, y) + np.logaddexp(ahead[-1][0] + chain.move[0, y], ahead[-1][1] + chain.move[1, y]) for y in (0, 1)])
+        for t in range(len(words_) - 2, -1, -1):
+            back[t] = [np.logaddexp(chain.move[y, 0] + weight(t + 1, 0) + back[t + 1][0], chain.move[y, 1] + weight(t + 1, 1) + back[t + 1][1]) for y in (0, 1)]
+        for t in range(len(words_)):
+            p[i + t] = 1 / (1 + np.exp(ahead[t][0] + back[t][0] - ahead[t][1] - back[t][1]))
+        i = j + 1
+    top = min(max([1e-6, *p]), 1 - 1e-6)
+    odds = chain.scale[0] * np.log(top / (1 - top)) + chain.scale[1] * np.log1p(sum(x for x in p if x > 0.5)) + chain.scale[2]
+    spans, last = [], -2
+    for t, m in enumerate(found):
+        if p[t] >= 0.5:
+            if t == last + 1:
+                spans[-1] = (spans[-1][0], m.end())
+            else:
+                spans.append((m.start(), m.end()))
+            last = t
+    return 1 / (1 + np.exp(-odds)), spans
+
+
+def test_scores_and_spans_equal_brute_force(spark, corpus):
+    base, docs, labels = corpus
+    chain = crf_toxicity.fit(docs, labels)
+    texts = [t for _, t, _, _ in base[:40]] + ["", "İİ zzbad İ. QQworse now", words(5, 300) + " zzbad " + words(6, 200), "zzbad qqworse! \n? ZZBAD", "1 2 3 zz-bad"]
+    found = {r["doc_id"]: r for r in crf_toxicity.score(spark.createDataFrame([document(i, t) for i, t in enumerate(texts)], SCHEMA), chain).collect()}
+    for i, text in enumerate(texts):
+        score, spans = brute_score(chain, text)
+        assert abs(found[i]["score"] - score) < 1e-6
+        assert [(s["start"], s["end"]) for s in found[i]["spans"]] == spans
+    hit = found[41]["spans"]
+    assert [texts[41][s["start"] : s["end"]] for s in hit] == ["zzbad", "QQworse"]
+
+
+def test_words_that_tell_by_recount(corpus):
+    base, _, _ = corpus
+    toxic, clean = ([[w.lower() for w in x] for x in crf_toxicity.tokens([t for _, t, _, bad in base if bad == y])] for y in (True, False))
+    found = {f for f in crf_toxicity.telling_features(toxic, clean) if f.startswith("w=")}
+    n, m = len(toxic), len(clean)
+    words_ = {w for x in toxic for w in x} - crf_toxicity.ENDS
+    want = set()
+    for w in words_:
+        k, j = sum(w in x for x in toxic), sum(w in x for x in clean)
+        often = (k + 0.5) / (n + 1) >= crf_toxicity.TIMES * (j + 0.5) / (m + 1)
+        share = (k + j) / (n + m)
+        ratio = 2 * (k * np.log(k / (n * share)) + (j * np.log(j / (m * share)) if j else 0))
+        if often and ratio >= 2 * np.log(len(words_)) + crf_toxicity.SURE:
+            want.add("w=" + w)
+    assert found == want == {"w=zzbad", "w=qqworse"}
+
+
+def test_rows_without_an_id_are_not_held_out(spark, corpus, tmp_path):
+    base, docs, labels = corpus
+    docs.select("doc_id", "text").union(spark.createDataFrame([(None, "zzbad qqworse")], "doc_id long, text string")).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    out = crf_toxicity.op10_crf_toxicity(spark, str(tmp_path)).collect()
+    (odd,) = [r for r in out if r["doc_id"] is None]
+    assert odd["held_out"] is False and odd["predicted"] == 1 and len(out) == len(base) + 1
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out if r["doc_id"] is not None)
 
 
 # ---- fertility ------------------------------------------------------------------------------------------------------
