@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from conftest import SCHEMA, document, words
 from pyspark.sql import functions as F
@@ -371,21 +372,67 @@ def test_bands_reject_by_language_and_script(spark):
 
 def test_memory_starts_anew_without_other_results(monkeypatch, spark, docs):
     whole = sorted(map(str, fertility.judge(docs).collect()))
-    ranks, model = (open(__import__("public_tokenizers").path(n), "rb").read() for n in (fertility.VOCABULARY, fertility.PIECES))
+    ranks, model = (open(public_tokenizers.path(n), "rb").read() for n in (fertility.VOCABULARY, fertility.PIECES))
     monkeypatch.setattr(fertility, "REMEMBERED", 50)
-    small = fertility.Fertility(ranks, model)
+    small = fertility.Fertility(ranks, public_tokenizers.PATTERN, model)
     texts = [words(i, 30) for i in range(5)]
     one = [fertility.measure(small, [t], ["en"], fertility.BANDS) for t in texts]
-    all_ = fertility.measure(fertility.Fertility(ranks, model), texts, ["en"] * 5, fertility.BANDS)
+    all_ = fertility.measure(fertility.Fertility(ranks, public_tokenizers.PATTERN, model), texts, ["en"] * 5, fertility.BANDS)
     assert [[x[0] for x in o[:9]] for o in one] == [[x[i] for x in all_[:9]] for i in range(5)]
     assert whole == sorted(map(str, fertility.judge(docs.repartition(1)).collect()))
 
 
-def test_entropy_equals_its_definition():
-    runs = [[1, 1, 2], [], [5], list(range(600)), [3] * 50]
-    out = fertility.entropies(np.array([x for r in runs for x in r], "i8"), np.array([len(r) for r in runs]))
-    assert out[1] == out[2] == 1 and out[4] == 0 and abs(out[3] - np.log2(600) / np.log2(512)) < 1e-9
-    assert abs(out[0] - (-(2 / 3) * np.log2(2 / 3) - (1 / 3) * np.log2(1 / 3)) / np.log2(3)) < 1e-9
+def brute_entropy(run, span):
+    total = 0.0
+    for i in range(0, len(run), span):
+        part = run[i : i + span]
+        h = -sum(part.count(x) / len(part) * np.log2(part.count(x) / len(part)) for x in set(part))
+        total += len(part) * (h / np.log2(len(part)) if len(part) > 1 else 1.0)
+    return total / len(run) if run else 1.0
+
+
+@pytest.mark.parametrize("span", [4, 256])
+def test_entropy_equals_its_definition(span):
+    rng = random.Random(1)
+    runs = [[1, 1, 2], [], [5], list(range(600)), [3] * 50, [rng.randrange(40) for _ in range(700)], [7] * 257]
+    out = fertility.entropies(np.array([x for r in runs for x in r], "i8"), np.array([len(r) for r in runs]), span)
+    assert np.allclose(out, [brute_entropy(r, span) for r in runs])
+
+
+def test_entropy_does_not_tell_length(spark):
+    rng = random.Random(2)
+    vocabulary = [words(i, 1) + words(i + 9000, 1) for i in range(8000)]
+    rank = [1 / (i + 1) for i in range(8000)]
+    texts = [" ".join(rng.choices(vocabulary, rank, k=n)) for n in (300, 1000, 3000, 20_000, 400_000)]
+    found = sorted(fertility.judge(spark.createDataFrame([document(i, t, "xx") for i, t in enumerate(texts)], SCHEMA)).collect(), key=lambda r: r["doc_id"])
+    assert all(r["kept"] for r in found) and max(r["entropy"] for r in found) - min(r["entropy"] for r in found) < 0.05
+
+
+def test_measures_and_verdict_equal_brute_force(spark, docs, rows):
+    import base64
+    import re
+
+    import sentencepiece
+    import tiktoken
+
+    body = open(public_tokenizers.path(fertility.VOCABULARY), "rb").read()
+    bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, body.splitlines())}, special_tokens={})
+    model = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path(fertility.PIECES)))
+    more = [document(200, "日本語 テキスト の 例 " * 12, "ja"), document(201, "ελληνικά και λίγο " * 9, None), document(202, "<|endoftext|> a b c " * 12), document(203, words(1, 25), "tlh")]
+    found = {(r["doc_id"], r["n_words"], r["word_chars"]): r for r in fertility.judge(docs.unionByName(spark.createDataFrame(more, SCHEMA))).collect()}
+    for row in [*rows, *more]:
+        text = row[1] or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        r = found[row[0], len(w), sum(map(len, w))]
+        ids = bpe.encode_ordinary(text)
+        parts = [x for v in w for x in model.encode(v)]
+        per_token, share, entropy = sum(map(len, w)) / max(len(ids), 1), sum(map(model.is_byte, parts)) / max(len(parts), 1), brute_entropy(ids, fertility.SPAN)
+        assert abs(r["chars_per_token"] - per_token) < 1e-9 and abs(r["fallback_share"] - share) < 1e-9 and abs(r["entropy"] - entropy) < 1e-9
+        letters = {n: sum(a <= ord(c) <= b for c in text for a, b in blocks) for n, blocks in fertility.SCRIPTS.items()}
+        script = next((n for n, k in letters.items() if k and k == max(letters.values())), "other")
+        band = row[2] if row[2] in fertility.BANDS else script
+        low, high, most, least, top = fertility.BANDS[band]
+        assert r["band"] == band and r["kept"] == (not r["base_failed"] and low <= per_token <= high and share <= most and least <= entropy <= top)
 
 
 def test_fertility_of_nothing(none):
