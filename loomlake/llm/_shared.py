@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def use_shared_folder(spark: SparkSession) -> None:
-    """Take spark.checkpoint.dir for checkpoints; only where it is unset (tests, one machine) make a folder."""
+    """Take spark.checkpoint.dir for checkpoints; where it is unset make a folder, on one machine only."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     named = context.getConf().get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomlake-checkpoint-"))
 
 
@@ -31,6 +34,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back: smaller than a checkpoint, for tables with texts."""
+    place = f"{shared_path(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
+def remove(spark: SparkSession, place: str) -> None:
+    """Delete a folder that this program has written, through the file system that Spark writes to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece holds at most ``max_bytes`` of ``column``, or one row if that row is longer."""
     for batch in batches:

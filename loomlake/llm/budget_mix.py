@@ -12,8 +12,10 @@ Only the leaves' sums come to the driver; their number is that of (domain, langu
 ``MAX_LEAVES``.
 
 Defined results: null language or source is a leaf of its own, "null"; null or blank text has 0 tokens and is taken
-when the stream passes its place; a null doc_id is a value like any other; repeated rows are streamed one by one; an
-empty table gives an empty result; extra columns are ignored by :func:`select` and kept by :func:`mixed`.
+when the stream passes its place; a null doc_id is a value like any other; repeated rows are streamed one by one, and
+:func:`mixed` keeps as many of them as were taken; the document at a budget's edge is taken in part, and kept whole by
+:func:`mixed`; an empty table gives an empty result; extra columns are ignored by :func:`select` and kept by
+:func:`mixed`.
 """
 
 from __future__ import annotations
@@ -140,9 +142,9 @@ def select(docs: DataFrame, take: float = TAKE, max_epochs: int = 2, seed: int =
 
 def _prefix(held: DataFrame, leaf: list[str], epoch: int, seed: int) -> DataFrame:
     """What one epoch takes: documents in seeded order, each with the tokens that the budget still covers."""
-    order = F.xxhash64(F.lit(seed), F.lit(epoch), "source", "doc_id", "text_key")
+    order = F.xxhash64(F.lit(seed), F.lit(epoch), "source", "doc_id", "text_key").bitwiseXOR(F.lit(-(1 << 63)).cast("long"))  # ascends as the unsigned hash
     slices = F.greatest(F.lit(1), F.ceil(F.col("leaf_docs") / SLICE))
-    cut_ = held.withColumn("order", order).withColumn("slice", F.floor((F.shiftrightunsigned("order", 11) / float(1 << 53)) * slices))
+    cut_ = held.withColumn("order", order).withColumn("slice", F.floor((F.shiftright("order", 11) / float(1 << 53) + 0.5) * slices))
     sums = cut_.groupBy(*leaf, "slice").agg(F.sum("n_tokens").alias("sum"))
     before = Window.partitionBy(*leaf).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*leaf, "slice", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("start"))
@@ -158,11 +160,27 @@ def _prefix(held: DataFrame, leaf: list[str], epoch: int, seed: int) -> DataFram
 
 
 def mixed(docs: DataFrame, take: float = TAKE, seed: int = SEED, weights: tuple[dict, dict, dict] = (DOMAIN_WEIGHTS, LANGUAGE_WEIGHTS, {})) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that one epoch takes whole or in part."""
-    chosen = select(docs, take, 1, seed, weights).where("epochs > 0")
-    ids = chosen.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
-    return rows.join(ids, F.col("id").eqNullSafe(F.col("id_")) & (F.col("key") == F.col("key_")), "left_semi").select("row.*")
+    """The rows of ``docs``, all columns as they are, that one epoch takes whole or in part.
+
+    Rows alike in id, text and leaf lie side by side in the seeded order, so only those at a leaf's edge are taken some
+    and left some: at most one set of copies a leaf, counted instead of numbered.
+    """
+    key = ["doc_id", "text_key", "lang", "source"]
+    told = select(docs, take, 1, seed, weights).groupBy(*key).agg(F.sum("epochs").alias("taken"), F.count(F.lit(1)).alias("copies")).where("taken > 0")
+    told = cut(told.select(F.struct(*key).alias("of"), "taken", "copies"))
+    name = lambda c: F.coalesce(docs[c].cast("string"), F.lit("null"))
+    own = F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("text_key"), name("lang").alias("lang"), name("source").alias("source"))
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), own.alias("of"))
+    same = [rows["of"][c].eqNullSafe(told["of"][c]) for c in key]
+    whole = rows.join(told.where("taken = copies"), same, "left_semi").select("row.*")
+    edge = told.where("taken < copies")
+    if edge.isEmpty():
+        return whole
+    alike = rows.join(F.broadcast(edge), same).groupBy(edge["of"], "taken", "row").agg(F.count(F.lit(1)).alias("n"))  # a row a leaf
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("of").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept = alike.withColumn("kept", F.least("n", F.greatest(F.col("taken") - before, F.lit(0)))).where("kept > 0")
+    some = kept.select("row", F.explode(F.sequence(F.lit(1), F.col("kept").cast("int")))).select("row.*")
+    return whole.unionByName(some)
 
 
 def op5_budget_mix(spark, sf_dir: str) -> DataFrame:

@@ -145,7 +145,7 @@ def jaccard_links(docs: DataFrame, prints: DataFrame, cell: int = CELL) -> DataF
     members = cut(sent.join(buckets, "bucket").select("bucket", "n", "least", "set"))
     wanted = members.select("set").distinct()
     ids = prints.join(wanted, "set", "left_semi").select(F.col("doc_id").alias("id_")).distinct()
-    rows = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("id_")), "left_semi")
+    rows = docs.select("doc_id", "text").join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["id_"]), "left_semi")
     sets = cut(_sets(rows).join(wanted, "set", "left_semi").dropDuplicates(["set"]))
     side = lambda c, h: sets.select(F.col("set").alias(c), F.col("hashes").alias(h))
     pairs = members.where("set <> least").select(F.col("set").alias("u"), F.col("least").alias("v")).distinct()
@@ -171,5 +171,5 @@ def keep_one(docs: DataFrame, cell: int = CELL) -> DataFrame:
     rooted = known.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     heads = rooted.groupBy("root").agg(F.min("row").alias("head"), F.max("row").alias("last")).where("head <> last").select("root", "head")
     gone = cut(rooted.join(heads, "root").where("row <> head").select(F.col("row.doc_id").alias("id_"), F.col("row.text_key").alias("key_")).distinct())
-    own = docs["doc_id"].cast("long").eqNullSafe(F.col("id_")) & (F.xxhash64(docs["text"].cast("string")) == F.col("key_"))
+    own = docs["doc_id"].cast("long").eqNullSafe(gone["id_"]) & (F.xxhash64(docs["text"].cast("string")) == gone["key_"])
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, own, "left_anti")

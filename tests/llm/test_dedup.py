@@ -325,17 +325,3 @@ def test_jaccard_links_equal_brute_force(spark, docs, rows, cell):
         old, new = max(mine[u], mine[v]), min(mine[u], mine[v])
         mine = {k: new if r == old else r for k, r in mine.items()}
     assert mine == root and sum(k != r for k, r in root.items()) >= 12
-
-
-def test_pipeline_drops_copies_at_similarity(spark):
-    import corpus_pipeline
-
-    texts = [words(900 + i, 500) for i in range(8)]
-    found = [(2 * i + k, t if k == 0 else edited(t, 60), "en", "s", 0) for i, t in enumerate(texts) for k in (0, 1)]
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    table = spark.createDataFrame([*found, (100, None, None, None, None), (101, "", "en", "s", 0)], schema)
-    kept = corpus_pipeline.near_copies(spark, table)
-    assert kept.columns == table.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(0, 16, 2), 100, 101]
-    taken = {r["doc_id"] for r in corpus_pipeline.mixture(spark, table, "").collect()}
-    assert taken and not taken & set(range(1, 16, 2))

@@ -1,6 +1,8 @@
 import hashlib
 import random
+import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -152,36 +154,80 @@ def test_siblings_come_before_ancestors():
     assert [n.budget for n in (a.children["x"], a.children["y"], b.children["z"])] == [10, 50, 340]
 
 
-def brute_mix(rows, take, epochs, seed):
-    """By the definition, in one sorted list per leaf, from the operator's own order keys."""
-    out = {}
-    leaves = {}
+def brute_budgets(weight, rooms, total):
+    """Exact shares by halving: the level at which each child gets min(its room, level x weight), then whole numbers."""
+    total = min(total, sum(rooms))
+    given, open_ = [0] * len(rooms), [i for i, r in enumerate(rooms) if r]
+    while open_:
+        left = Fraction(total - sum(given))
+        whole = sum(weight[i] for i in open_)
+        part = {i: left * weight[i] / whole for i in open_}
+        full = [i for i in open_ if part[i] >= rooms[i]]
+        if not full:
+            floors = {i: int(part[i]) for i in open_}
+            rest = total - sum(given) - sum(floors.values())
+            for i in sorted(open_, key=lambda i: (floors[i] - part[i], i))[: int(rest)]:
+                floors[i] += 1
+            for i in open_:
+                given[i] = floors[i]
+            break
+        for i in full:
+            given[i] = rooms[i]
+        open_ = [i for i in open_ if i not in full]
+    return given
+
+
+def brute_mix(spark, docs, take, epochs, seed=20):
+    """[(row, tokens taken, times taken)] by the definition: budgets by exact fractions, one sorted list a leaf."""
+    name = lambda c: F.coalesce(F.col(c), F.lit("null"))
+    keyed = docs.select("doc_id", "text", name("lang").alias("lang"), name("source").alias("source"), F.xxhash64("text").alias("text_key")).withColumn("domain", budget_mix.domain_of(F.col("source")))
+    for e in range(epochs):
+        keyed = keyed.withColumn(f"order{e}", F.xxhash64(F.lit(seed), F.lit(e), "source", "doc_id", "text_key"))
+    rows = [r.asDict() | {"n_tokens": len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))} for r in keyed.collect()]
+    tree = {}
     for r in rows:
-        leaves.setdefault((r["domain"], r["lang"], r["source"]), []).append(r)
-    found = {k: (len(v), sum(r["n_tokens"] for r in v)) for k, v in leaves.items()}
-    budgets = budget_mix.plan(found, take, epochs, (budget_mix.DOMAIN_WEIGHTS, budget_mix.LANGUAGE_WEIGHTS, {}))
-    for key, own in leaves.items():
-        left = budgets[key]
-        for e in range(epochs):
-            for r in sorted(own, key=lambda r: (r[f"order{e}"] % (1 << 64), str(r["doc_id"]), r["text_key"])):
-                t = min(max(left, 0), r["n_tokens"])
-                old = out.get(id(r), (r, 0, 0))
-                out[id(r)] = (r, old[1] + t, old[2] + (left > 0))
-                left -= r["n_tokens"]
-    return [(r["doc_id"], *k[:0], r["n_tokens"], n, t) for r, t, n in out.values() for k in [()]]
-
-
+        tree.setdefault(r["domain"], {}).setdefault(r["lang"], {}).setdefault(r["source"], []).append(r)
+    supply = lambda node: sum(map(supply, node.values())) if isinstance(node, dict) else epochs * sum(r["n_tokens"] for r in node)
+    weights = (budget_mix.DOMAIN_WEIGHTS, budget_mix.LANGUAGE_WEIGHTS, {})
+    out = []
+
+    def share(node, level, total):
+        if isinstance(node, list):
+            left, got = total, {id(r): [r, 0, 0] for r in node}
+            for e in range(epochs):
+                for r in sorted(node, key=lambda r: (r[f"order{e}"] % (1 << 64), r["doc_id"] or 0, r["text_key"])):
+                    got[id(r)][1] += min(max(left, 0), r["n_tokens"])
+                    got[id(r)][2] += left > 0
+                    left -= r["n_tokens"]
+            out.extend(map(tuple, got.values()))
+            return
+        names = sorted(node)
+        parts = brute_budgets([Fraction(weights[level].get(n, budget_mix.DEFAULT)) for n in names], [supply(node[n]) for n in names], total)
+        for n, part in zip(names, parts, strict=True):
+            share(node[n], level + 1, part)
+
+    share(tree, 0, int(take * sum(r["n_tokens"] for r in rows)))
+    return out
+
+
+@pytest.mark.parametrize("size", [3, 2048])
 @pytest.mark.parametrize("take,epochs", [(0.3, 1), (0.7, 2), (1.6, 2)])
-def test_mix_equals_brute_force(spark, docs, monkeypatch, take, epochs):
-    monkeypatch.setattr(budget_mix, "SLICE", 3)
-    ids = docs.where("doc_id is not null and doc_id <> 8")
-    keyed = ids.select("doc_id", F.coalesce("lang", F.lit("null")).alias("lang"), F.coalesce("source", F.lit("null")).alias("source"), budget_mix.n_tokens(F.col("text")).alias("n_tokens"), F.xxhash64("text").alias("text_key"))
-    keyed = keyed.withColumn("domain", budget_mix.domain_of(F.col("source")))
-    for e in range(epochs):
-        keyed = keyed.withColumn(f"order{e}", F.xxhash64(F.lit(20), F.lit(e), "source", "doc_id", "text_key"))
-    want = brute_mix([r.asDict() for r in keyed.collect()], take, epochs, 20)
-    found = budget_mix.select(ids, take, epochs).collect()
-    assert bag((r["doc_id"], r["n_tokens"], r["epochs"], r["tokens_taken"]) for r in found) == bag(want)
+def test_mix_equals_brute_force(spark, docs, monkeypatch, take, epochs, size):
+    monkeypatch.setattr(budget_mix, "SLICE", size)
+    found = budget_mix.select(docs, take, epochs).collect()
+    told = bag((r["doc_id"], r["n_tokens"], r["epochs"], r["tokens_taken"]) for r in found)
+    assert told == bag((r["doc_id"], r["n_tokens"], times, taken) for r, taken, times in brute_mix(spark, docs, take, epochs))
+
+
+@pytest.mark.parametrize("take", [0.1, 0.5, 0.9])
+def test_mixed_keeps_copies_by_count(spark, take):
+    rows = [document(1, "same " * 10, "en", "s")] * 50 + [document(i, f"t{i} " * 10, "en", "s") for i in range(2, 52)] + [document(1, "same " * 10, None, "s")] * 20
+    rows += [document(None, None)] * 5 + [(1, "same " * 10, "en", "s", 7, *rows[0][5:])] * 4
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    out = budget_mix.mixed(docs, take)
+    taken = [r for r, _, times in brute_mix(spark, docs, take, 1) if times]
+    assert bag((r["doc_id"], r["text"], r["lang"] or "null") for r in out.collect()) == bag((r["doc_id"], r["text"], r["lang"]) for r in taken)
+    assert out.exceptAll(docs).count() == 0
 
 
 def test_mix_takes_what_was_asked_for(docs, rows):
