@@ -146,27 +146,37 @@ def apply(docs: DataFrame, mode: str = "frequent", min_docs: int = 10, min_chars
     return fresh.select(*((new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in names))
 
 
+def keep_string(keep: Column) -> Column:
+    """A sparse keep bitmap as text: word:bits in 16 hex digits, with commas between; empty if nothing is lost."""
+    told = F.transform(keep, lambda w: F.concat(w["word"].cast("string"), F.lit(":"), F.lower(F.lpad(F.hex(w["bits"]), 16, "0"))))
+    return F.coalesce(F.array_join(told, ","), F.lit(""))
+
+
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """Lines of at least 1 code point in at least 10 documents go; one row a document."""
+    """Lines of at least 1 code point in at least 10 documents go; one row a document, with its keep bitmap."""
     found = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"), keep_string(F.col("keep")).alias("keep"))
 
 
 OP7_SQL = """
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l, md5(coalesce(text, '')) AS m FROM documents),
+lines AS (SELECT r, doc_id, m, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS pos FROM d),
 keyed AS (
-  SELECT doc_id, pos, line,
+  SELECT r, doc_id, m, pos, line,
          translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines),
 hot AS (
-  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+  SELECT key FROM (SELECT DISTINCT key, doc_id, m FROM keyed WHERE length(key) >= 1) GROUP BY key HAVING count(*) >= 10),
 marked AS (
-  SELECT k.doc_id, k.pos, k.line, h.key IS NOT NULL AS gone FROM keyed k LEFT JOIN hot h ON k.key = h.key)
-SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+  SELECT k.r, k.doc_id, k.pos, k.line, h.key IS NOT NULL AS gone FROM keyed k LEFT JOIN hot h ON k.key = h.key),
+words AS (
+  SELECT r, pos // 64 AS word, 18446744073709551615 - sum(CAST(1 AS HUGEINT) << CAST(pos % 64 AS INTEGER)) AS bits
+  FROM marked WHERE gone GROUP BY r, pos // 64),
+maps AS (SELECT r, string_agg(word || ':' || format('{:016x}', CAST(bits AS UBIGINT)), ',' ORDER BY word) AS keep FROM words GROUP BY r),
+kept AS (
+  SELECT r, any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+  FROM marked GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, kept_sha256, coalesce(keep, '') AS keep FROM kept LEFT JOIN maps ON kept.r = maps.r
 """

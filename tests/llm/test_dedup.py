@@ -44,6 +44,21 @@ def test_lines_equal_brute_force(docs, rows, min_docs):
     assert bag(tuple(r) for r in found.collect()) == bag(brute_lines(rows, min_docs))
 
 
+def test_line_query_equals_its_sql_on_odd_rows(spark, rows, tmp_path):
+    import duckdb
+
+    again = [document(7000, f"hot\nrow {i}") for i in range(12)] + [document(None, f"cold\nrow {i % 9}") for i in range(40)] + [document(8000, "\n".join(["Hot", "x"] * 100))]
+    spark.createDataFrame([*rows, *again], SCHEMA).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    found = line_dedup.op7_line_dedup(spark, str(tmp_path))
+    oracle = duckdb.connect()
+    oracle.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    told = oracle.execute(line_dedup.OP7_SQL)
+    names = [d[0] for d in told.description]
+    assert bag(tuple(r[c] for c in names) for r in found.collect()) == bag(told.fetchall())
+    hot = found.where("doc_id = 8000").first()  # a document is a distinct pair of id and text: twelve of id 7000 hold the line
+    assert hot["n_dropped"] == 100 and hot["keep"].startswith("0:aaaaaaaaaaaaaaaa,1:") and found.where("doc_id is null and keep <> ''").count() == 0
+
+
 def test_lines_keep_the_first(spark):
     made = spark.createDataFrame([document(2, "b\na\nb"), document(1, "a\nc\n a"), document(3, None)], SCHEMA)
     found = {r["doc_id"]: r["kept_text"] for r in line_dedup.dedup_lines(made, "first").collect()}
