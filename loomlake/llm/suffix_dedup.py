@@ -8,9 +8,12 @@ the suffixes of its stretches by external induced sorting (:mod:`.induced_sort`)
 LENGTH or more share a window, and the smallest doc_id among them is known. Step 3 brings the spans back to the blocks,
 and the bytes go. Nothing is decided by hashes alone: they only choose where exact comparisons take place.
 
-What is collected in one task: a block, the shared anchors of one hash bucket, or one shard; their number follows the
-input. Equal stretches travel once for each block; those at the edges of a passage hold bytes outside it and so differ,
-one or two for each document. A shard's stretches must fit in a task's memory, and an anchor's are not split.
+A shard streams through its task: its rows go to a scratch file, and what is held is its distinct stretches. A shard with
+more than MEMORY bytes of them is cut on disk into parts that are sorted one after the other: first by anchor, so that
+equal windows stay together; where one anchor alone has too much (a passage in a third of all documents has different
+edges in each), by the hash of whole windows, again and again until a part fits. So a task's memory does not depend on
+the shard's size or on hot anchors. Other things held in one task: a block, and the shared anchors of one hash bucket,
+6 bytes for each block that has them.
 
 Defined results: null text is empty; a null doc_id counts as larger than all others, and null ids are no larger than
 each other; rows that repeat an id are one document and remove nothing from each other; documents shorter than LENGTH
@@ -20,6 +23,8 @@ lose nothing; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +40,8 @@ from .induced_sort import suffix_order
 
 LENGTH, KMER = 50, 20
 BLOCK, SEGMENT = 2 << 20, 1 << 20
+#: Bytes of distinct stretches that are sorted at once; the sort takes some 40 times as much.
+MEMORY = 8 << 20
 NO_ID = (1 << 63) - 1
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -112,7 +119,9 @@ def windows(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
         anchor, doc, place = anchor[whole], doc[whole], place[whole]
         first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         count = np.diff(np.concatenate([first, [len(whole)]]))
-        out.append((doc[first], place[first], count, mixed[anchor[first]]))
+        # the least of many hashes is small: mixed once more, anchors spread evenly
+        even = mixed[anchor[first]] * _ODD[1]
+        out.append((doc[first], place[first], count, (even ^ even >> np.uint64(31)) * _ODD[2]))
     if not out:
         return np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "u8")
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -201,12 +210,7 @@ def _stretches(bits: int, shards: int):
                     found: dict[bytes, int] = {}
                     which = [found.setdefault(raw[p : p + n + LENGTH - 1], len(found)) for p, n in zip(place[a:b].tolist(), count[a:b].tolist(), strict=True)]
                     names.append(int(shard[a]))
-                    own, at = np.unique(doc[a:b], return_inverse=True)
-                    steps = np.diff(at, prepend=0)  # documents ascend, places within a document too
-                    far = np.diff((place - base)[a:b], prepend=0)
-                    far[steps > 0] = (place - base)[a:b][steps > 0]
-                    sizes_ = np.fromiter(map(len, found), "u4", len(found))
-                    bodies.append(_pack(np.diff(which, prepend=0).astype("i4"), steps.astype("u4"), far.astype("i8"), own.astype("u4"), ids[own], sizes_, b"".join(found)))
+                    bodies.append(_told(np.array(which, "i8"), doc[a:b], (place - base)[a:b], ids[doc[a:b]], list(found)))
                 if names:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([block] * len(names), pa.int64()), pa.array(bodies, pa.binary())], names=["shard", "block", "body"])
 
@@ -248,42 +252,144 @@ def _occurrences(body: bytes) -> tuple[np.ndarray, ...]:
     return np.cumsum(which, dtype="i8"), own[at], total - before, ids[at], sizes, raw
 
 
-def _spans(table: pa.Table) -> pa.Table:
-    """One shard -> block, body: (document, start, end) to remove, for each block."""
-    rows = [_occurrences(x) for x in table.column("body").to_pylist()]
-    found: dict[bytes, int] = {}
-    which = []
-    for own, _, _, _, sizes, raw in rows:
-        raw, ends = raw.tobytes(), np.cumsum(sizes.astype("i8")).tolist()
-        names = [found.setdefault(raw[b - n : b], len(found)) for n, b in zip(sizes.tolist(), ends, strict=True)]
-        which.append(np.array(names, "i8")[own])
-    owner = np.full(len(found), NO_ID)
-    for w, (_, _, _, ids, _, _) in zip(which, rows, strict=True):
-        np.minimum.at(owner, w, ids)
+Record = tuple[int, tuple[np.ndarray, ...]]  # a block and its occurrences, as _occurrences tells them
+
+
+class Spool:
+    """Records of (block, body) in a scratch file of the task, unnamed, read from the start as often as wanted."""
+
+    def __init__(self):
+        self.file, self.ends, self.blocks = tempfile.TemporaryFile(), [0], []
+
+    def add(self, block: int, body: bytes) -> None:
+        self.file.seek(self.ends[-1])
+        self.file.write(body)
+        self.blocks.append(block)
+        self.ends.append(self.ends[-1] + len(body))
+
+    def __iter__(self) -> Iterator[Record]:
+        for i, block in enumerate(self.blocks):
+            self.file.seek(self.ends[i])
+            yield block, _occurrences(self.file.read(self.ends[i + 1] - self.ends[i]))
+
+
+def _told(which: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, texts: list[bytes]) -> bytes:
+    """The body of a record: documents ascend, and places within a document."""
+    own, at = np.unique(doc, return_inverse=True)
+    first = np.searchsorted(doc, own)
+    steps = np.diff(at, prepend=0)
+    far = np.diff(place, prepend=0)
+    far[steps > 0] = place[steps > 0]
+    sizes = np.fromiter(map(len, texts), "u4", len(texts))
+    return _pack(np.diff(which, prepend=0).astype("i4"), steps.astype("u4"), far.astype("i8"), own.astype("u4"), ids[first], sizes, b"".join(texts))
+
+
+def _cut_texts(sizes: np.ndarray, raw: np.ndarray) -> list[bytes]:
+    body, ends = raw.tobytes(), np.cumsum(sizes.astype("i8")).tolist()
+    return [body[b - n : b] for n, b in zip(sizes.tolist(), ends, strict=True)]
+
+
+def _cut_shard(records: Spool, parts: int, level: int) -> list[Spool]:
+    """The records in parts that share no window: by anchor at level 1, else by windows, each a stretch of its own."""
+    out = [Spool() for _ in range(parts)]
+    for block, (which, doc, place, ids, sizes, raw) in records:
+        if level == 1:
+            found, _, _, anchor = windows(raw, sizes.astype("i8"))
+            part_of = np.zeros(len(sizes), "i8")
+            part_of[found] = (anchor * _ODD[3] >> np.uint64(32)).astype("i8") % parts
+            texts = _cut_texts(sizes, raw)
+        else:
+            counts = sizes.astype("i8")[which] - LENGTH + 1
+            row = np.repeat(np.arange(len(which)), counts)
+            step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            at = ((np.cumsum(sizes.astype("i8")) - sizes)[which])[row] + step
+            body, names = raw.tobytes(), {}
+            which = np.array([names.setdefault(body[p : p + LENGTH], len(names)) for p in at.tolist()], "i8")
+            doc, place, ids, texts = doc[row], place[row] + step, ids[row], list(names)
+            order = np.lexsort((place, doc))
+            which, doc, place, ids = which[order], doc[order], place[order], ids[order]
+            seed = bytes([level % 256])
+            part_of = np.array([int.from_bytes(hashlib.blake2b(x, digest_size=7, key=seed).digest(), "little") % parts for x in texts], "i8")
+        for part in np.unique(part_of[which]).tolist():
+            own = np.flatnonzero(part_of[which] == part)
+            used, at = np.unique(which[own], return_inverse=True)
+            out[part].add(block, _told(at, doc[own], place[own], ids[own], [texts[i] for i in used.tolist()]))
+    return out
+
+
+def _distinct(records: Iterator[Record], memory: int) -> tuple[dict[bytes, int], np.ndarray, int]:
+    """(distinct stretches, least doc_id of each, bytes of all); the first is empty if it came to more than ``memory``."""
+    found: dict[bytes, int] | None = {}
+    least = np.full(1 << 10, NO_ID)
+    held = total = 0
+    for _, (which, _, _, ids, sizes, raw) in records:
+        total += len(raw)
+        if found is None:
+            continue
+        names = np.empty(len(sizes), "i8")
+        for i, text in enumerate(_cut_texts(sizes, raw)):
+            before = len(found)
+            names[i] = found.setdefault(text, before)
+            held += len(text) if len(found) > before else 0
+        while len(least) < len(found):
+            least = np.concatenate([least, np.full(len(least), NO_ID)])
+        np.minimum.at(least, names[which], ids)
+        if held > memory and len(found) > 1:
+            found = None
+    return found or {}, least[: len(found or {})], total
+
+
+def shard_spans(records: Spool, memory: int = MEMORY, level: int = 0) -> Iterator[tuple[int, bytes]]:
+    """(block, packed (document, start, end) to remove) for the records of a shard, some ``memory`` bytes sorted at once."""
+    found, owner, total = _distinct(iter(records), memory)
+    if not found and total:
+        for part in _cut_shard(records, max(2, -(-2 * total // memory)) if level < 64 else 2, level + 1):
+            yield from shard_spans(part, memory, level + 1)
+        return
+    if not found:
+        return
     texts = list(found)
     least, starts = first_owners(texts, owner)
-    sizes = np.fromiter(map(len, texts), "i8", len(texts))
-    counts = sizes - LENGTH + 1
-    bounds = np.stack([starts, starts + counts], axis=1).ravel()
+    lengths = np.fromiter(map(len, texts), "i8", len(texts))
+    n_windows = lengths - LENGTH + 1
+    bounds = np.stack([starts, starts + n_windows], axis=1).ravel()
     low, high = np.minimum.reduceat(least, bounds)[::2], np.maximum.reduceat(least, bounds)[::2]
-    out = []
-    for w, (_, doc, place, ids, _, _) in zip(which, rows, strict=True):
+    for block, (which, doc, place, ids, sizes, raw) in records:
+        w = np.array([found[x] for x in _cut_texts(sizes, raw)], "i8")[which]
         all_ = high[w] < ids
         some = np.flatnonzero(~all_ & (low[w] < ids))
-        parts = [(doc[all_], place[all_], place[all_] + sizes[w[all_]])]
+        parts = [(doc[all_], place[all_], place[all_] + lengths[w[all_]])]
         if len(some):
-            n = counts[w[some]]
+            n = n_windows[w[some]]
             row = np.repeat(some, n)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             gone = least[starts[w[row]] + step] < ids[row]
             row, step = row[gone], step[gone]
-            new = np.concatenate([[True], (row[1:] != row[:-1]) | (step[1:] != step[:-1] + 1)]) if len(row) else np.zeros(0, bool)
-            first = np.flatnonzero(new)
+            first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (step[1:] != step[:-1] + 1)])) if len(row) else np.zeros(0, "i8")
             last = np.concatenate([first[1:], [len(row)]]).astype("i8") - 1
             parts.append((doc[row[first]], place[row[first]] + step[first], place[row[first]] + step[last] + LENGTH))
         d, s, e = (np.concatenate(x) for x in zip(*parts, strict=True))
-        out.append(_pack(d.astype("u4"), s, e) if len(d) else None)
-    return pa.table([table.column("block").combine_chunks(), pa.array(out, pa.binary())], names=["block", "body"])
+        if len(d):
+            yield block, _pack(d.astype("u4"), s, e)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard -> block, body: what :func:`shard_spans` tells."""
+    now, held = None, Spool()
+
+    def done() -> Iterator[pa.RecordBatch]:
+        told = shard_spans(held)
+        while rows := list(itertools.islice(told, 256)):
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["block", "body"])
+
+    for batch in batches:
+        shards, numbers, bodies = (batch.column(c) for c in ("shard", "block", "body"))
+        for i in range(batch.num_rows):
+            if shards[i].as_py() != now:
+                yield from done()
+                now, held = shards[i].as_py(), Spool()
+            held.add(numbers[i].as_py(), bodies[i].as_py())
+    yield from done()
 
 
 def removed(text: np.ndarray, sizes: np.ndarray, told: list[bytes]) -> np.ndarray:
@@ -335,7 +441,7 @@ def dedup_bytes(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     shared = anchors.groupBy("bucket").applyInArrow(_shared, "block long, bucket int, body binary")
     by_block = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "body")).alias("told"))
     sent = held.join(by_block, "block").mapInArrow(_stretches(bits, shards), "shard int, block long, body binary")
-    spans = sent.groupBy("shard").applyInArrow(_spans, "block long, body binary").where("body is not null")
+    spans = sent.repartition("shard").sortWithinPartitions("shard").mapInArrow(_spans, "block long, body binary")
     told = spans.groupBy("block").agg(F.collect_list("body").alias("told"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     return held.join(told, "block", "left").select("body", "told").mapInArrow(_results(keep_bytes), schema)

@@ -265,6 +265,64 @@ def test_bytes_of_planted_passages(spark, monkeypatch):
     assert bag(tuple(r) for r in found.collect()) == bag(brute_bytes(made))
 
 
+@pytest.mark.parametrize("memory", [60, 400, 4000])
+def test_bytes_of_shards_larger_than_memory(monkeypatch, memory):
+    """A hot passage with edges of its own in every document, in one shard that is cut by anchors, then by windows."""
+    rng = random.Random(memory)
+    hot, warm = words(50, 20), [words(60 + i, 9) for i in range(4)]
+    made = [document(i, words(2000 + i, 3) + hot + words(3000 + i, 3) + rng.choice(warm) + (words(70, 12) if i % 3 else "")) for i in range(50)]
+    records = suffix_dedup.Spool()
+    cuts = []
+    cut = suffix_dedup._cut_shard
+    monkeypatch.setattr(suffix_dedup, "_cut_shard", lambda r, n, level: cuts.append(level) or cut(r, n, level))
+    blocks = {}
+    for number in range(10):
+        own = made[5 * number : 5 * number + 5]
+        raw, sizes = b"".join(r[1].encode() for r in own), np.array([len(r[1].encode()) for r in own])
+        doc, place, count, _ = suffix_dedup.windows(np.frombuffer(raw, "u1"), sizes)
+        base, names = (np.cumsum(sizes) - sizes)[doc], {}
+        which = np.array([names.setdefault(raw[p : p + n + suffix_dedup.LENGTH - 1], len(names)) for p, n in zip(place.tolist(), count.tolist(), strict=True)])
+        ids = np.array([r[0] for r in own])
+        records.add(number, suffix_dedup._told(which, doc, place - base, ids[doc], list(names)))
+        blocks[number] = (np.frombuffer(raw, "u1"), sizes, [])
+    for number, body in suffix_dedup.shard_spans(records, memory):
+        blocks[number][2].append(body)
+    lost = []
+    for text, sizes, told in blocks.values():
+        gone = suffix_dedup.removed(text, sizes, told)
+        lost += [int(x.sum()) for x in np.split(gone, np.cumsum(sizes)[:-1])]
+    assert lost == [n for _, _, n, _, _ in brute_bytes(made)] and sum(lost) > 3000
+    assert {1, 2} <= set(cuts) if memory < 4000 else 1 in cuts
+
+
+def test_memory_does_not_follow_the_shard():
+    import tracemalloc
+
+    peaks = []
+    for n in (4, 16):
+        records = suffix_dedup.Spool()
+        for number in range(n):
+            own = [words(1000 * number + i, 40).encode() for i in range(300)]
+            own += own[:30]
+            names = list(dict.fromkeys(own))
+            which = np.array([names.index(x) for x in own])
+            records.add(number, suffix_dedup._told(which, np.arange(len(own)), np.zeros(len(own), "i8"), np.arange(len(own)) + 10_000 * number, names))
+        size = sum(len(raw) for _, (*_, raw) in records)
+        tracemalloc.start()
+        found = sum(1 for _ in suffix_dedup.shard_spans(records, 40_000))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found and size > n * 40_000
+    assert peaks[1] < 1.5 * peaks[0]  # four times the shard, at a limit that is a small part of it
+
+
+def test_anchors_spread_evenly():
+    text = np.frombuffer(words(13, 60_000).encode(), "u1")
+    anchor = np.unique(suffix_dedup.windows(text, np.array([len(text)]))[3])
+    share = np.bincount((anchor >> np.uint64(60)).astype("i8"), minlength=16) / len(anchor)
+    assert share.max() < 0.08 and share.min() > 0.05
+
+
 def test_windows_do_not_depend_on_where_they_stand():
     a, b = words(7, 400).encode(), words(8, 100).encode()
     texts = [a, b + a[300:900] + b, a[10:]]
