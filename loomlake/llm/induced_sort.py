@@ -88,7 +88,12 @@ def refine(rank: np.ndarray, key: np.ndarray, at: np.ndarray) -> np.ndarray:
     A rank is the number of entries in smaller groups; ``at`` must hold whole groups.
     """
     old = rank[at]
-    order = np.argsort(key, kind="stable") if not len(old) or (old == old[0]).all() else np.lexsort((key, old))
+    order = np.argsort(key)  # ties get one rank, so they may come in any order
+    if len(old) and (old != old[0]).any():
+        sorted_ = key[order]
+        place = np.empty(len(at), "i8")
+        place[order] = np.cumsum(np.concatenate([[False], sorted_[1:] != sorted_[:-1]]))
+        order = np.argsort(old.astype("i8") << 32 | place)
     at, key, old = at[order], key[order], old[order]
     group = np.concatenate([[True], old[1:] != old[:-1]])
     first = group | np.concatenate([[True], key[1:] != key[:-1]])
@@ -127,7 +132,7 @@ def _stretch_ranks(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 def _doubled(rank: np.ndarray, depth: int) -> np.ndarray:
     """Suffix ranks of a string given the ranks of its symbols, exact to ``depth`` symbols."""
     rank, reach = rank.copy(), 1
-    tied = np.argsort(rank, kind="stable")
+    tied = np.argsort(rank)
     same = rank[tied][1:] == rank[tied][:-1]
     tied = tied[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
     while len(tied) and reach < depth:
@@ -161,13 +166,13 @@ def sort_starred(text: np.ndarray, small: np.ndarray, depth: int, base: int, mem
     rank[is_end] = np.arange(is_end.sum())  # ends are different symbols; all others are larger
     base_rank = is_end.sum()
     if len(inner):
-        order = np.argsort(rank[inner], kind="stable")
+        order = np.argsort(rank[inner])
         sorted_ = rank[inner][order]
         fresh = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
         heads = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
         rank[inner[order]] = base_rank + heads[fresh]
     if len(np.unique(rank)) == len(rank):
-        return star[np.argsort(rank, kind="stable")]
+        return star[np.argsort(rank)]
     if len(rank) <= base:
         return star[np.argsort(_doubled(rank, depth), kind="stable")]
     # the string of names, its own ends kept apart as symbol 0 of a new problem
@@ -176,7 +181,7 @@ def sort_starred(text: np.ndarray, small: np.ndarray, depth: int, base: int, mem
     place = np.full(len(reduced), -1, "i8")
     order = np.concatenate([x for x, _ in suffix_order(reduced, depth, base, memory)][::-1])
     place[order] = np.arange(len(order))
-    return star[np.argsort(place, kind="stable")]
+    return star[np.argsort(place)]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, room: np.ndarray) -> np.ndarray:

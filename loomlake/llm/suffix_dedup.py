@@ -39,9 +39,9 @@ from ._shared import cut, documents, pieces
 from .induced_sort import suffix_order
 
 LENGTH, KMER = 50, 20
-BLOCK, SEGMENT = 2 << 20, 1 << 20
+BLOCK, SEGMENT = 2 << 20, 1 << 18
 #: Bytes of distinct stretches that are sorted at once; the sort takes some 40 times as much.
-MEMORY = 8 << 20
+MEMORY = 4 << 20
 NO_ID = (1 << 63) - 1
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
