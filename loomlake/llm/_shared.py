@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,14 +29,28 @@ def shared_path(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+#: Bytes of an Arrow batch between the JVM and Python; both sides hold some of them for each task.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Arrow batches of BATCH_BYTES in this session, where nothing smaller is set."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(name, "-1"))
+    if not now or not 0 < int(now[1]) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps survive a lost executor without recomputing."""
     use_shared_folder(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read back: smaller than a checkpoint, for tables with texts."""
+    small_batches(df.sparkSession)
     place = f"{shared_path(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)

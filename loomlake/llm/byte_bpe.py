@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._shared import documents, pieces
+from ._shared import documents, pieces, small_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: White space as the White_Space property has it; the regex module's \s differs on U+001C to U+001F.
@@ -158,6 +158,7 @@ DIGESTS = T.StructType(
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids and of the decoded bytes for each document."""
+    small_batches(docs.sparkSession)
     ranks, pattern = _vocabulary(path, pattern)
     ranks = docs.sparkSession.sparkContext.broadcast(ranks)  # a fixed file of under 1 MB
 
@@ -179,6 +180,7 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
 
     The three new names replace columns of ``docs`` that clash with them.
     """
+    small_batches(docs.sparkSession)
     ranks, pattern = _vocabulary(path, pattern)
     ranks = docs.sparkSession.sparkContext.broadcast(ranks)  # a fixed file of under 1 MB
     new = ("token_ids", "n_tokens", "round_trip")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import cut, documents, fresh_names, pieces
+from ._shared import cut, documents, fresh_names, pieces, small_batches
 from .crf_toxicity import training_rows
 from .fertility import sums
 
@@ -299,6 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
 
 
 def _scored(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
+    small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # WORDS + PAGE ratios, whatever the input
     names = fresh_names(kept, "score", "content", "page", "text", "lang", "source", "size")
     new, own = names[:3], names[3:]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import documents, pieces
+from ._shared import documents, pieces, small_batches
 
 TRAIN_DOCS, TRAIN_BYTES, SPAN = 1500, 16 << 20, 64
 FOLDS = 5
@@ -382,6 +382,7 @@ SCHEMA = "doc_id long, score double, spans array<struct<start: int, end: int, p:
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, score and the offending spans (code points of the text) of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by the training sample, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

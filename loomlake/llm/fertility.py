@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._shared import documents, pieces
+from ._shared import documents, pieces, small_batches
 from .byte_bpe import VOCABULARY, read_ranks
 
 PIECES = "piece_bpe_32k.model"
@@ -189,6 +189,7 @@ def judge(docs: DataFrame, bands: dict = BANDS, ranks_path: str | None = None, p
     """One row for each row of ``docs`` (doc_id, text, lang) with the columns of SCHEMA."""
     import public_tokenizers
 
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     files = []
     for name in (ranks_path or public_tokenizers.path(VOCABULARY), pieces_path or public_tokenizers.path(PIECES)):

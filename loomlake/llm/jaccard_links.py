@@ -109,7 +109,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, "a"):
         told = zip(*(batch.column(c).to_pylist() for c in ("a", "b")), strict=True)
         yield batch.select(["u", "v"]).filter(pa.array([similar(*(np.frombuffer(x, "u8") for x in row)) for row in told], pa.bool_()))
 
@@ -122,7 +122,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     now, held = None, {}
-    for batch in batches:
+    for batch in pieces(batches, "hashes"):
         for bucket, i, j, key, hashes in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "set", "hashes")), strict=True):
             if (bucket, i, j) != now:
                 if held:
