@@ -36,7 +36,7 @@ BATCH_BYTES = 8 << 20
 def small_batches(spark: SparkSession) -> None:
     """Have Arrow batches of BATCH_BYTES in this session, where nothing smaller is set."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = re.fullmatch(r"(\d+)b?", spark.conf.get(name, "-1"))
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
     if not now or not 0 < int(now[1]) <= BATCH_BYTES:
         spark.conf.set(name, str(BATCH_BYTES))
 
