@@ -98,13 +98,13 @@ def _signed(column: str) -> str:
 RECV_STEP = f"({_signed('ts_recv_raw')}) - ({_signed('prev_ts_recv_raw')})"
 
 
-def checked_rows(ticks: DataFrame, mappings: DataFrame | None = None) -> DataFrame:
-    """``ticks`` with what the predicates need: session bounds, ``mapped``, the row before, and recv_step.
+def checked_rows(ticks: DataFrame, mappings: DataFrame | None = None, order: bool = True) -> DataFrame:
+    """``ticks`` with what the predicates need: session bounds, ``mapped`` and, if ``order``, the row before and recv_step.
 
     ``mappings``: session_date_ny and instrument_id of every mapped instrument; not given: all are mapped.
     """
-    rows = with_previous(ticks, NATIVE_COLUMNS).withColumns({"start_ns": bound_ns(F.col("session_date_ny"), 7), "end_ns": bound_ns(F.col("session_date_ny"), 12)})
-    rows = rows.withColumn("recv_step", F.expr(f"cast({RECV_STEP} as bigint)"))
+    rows = with_previous(ticks, NATIVE_COLUMNS).withColumn("recv_step", F.expr(f"cast({RECV_STEP} as bigint)")) if order else ticks
+    rows = rows.withColumns({"start_ns": bound_ns(F.col("session_date_ny"), 7), "end_ns": bound_ns(F.col("session_date_ny"), 12)})
     if mappings is None:
         return rows.withColumn("mapped", F.lit(True))
     known = mappings.select("session_date_ny", "instrument_id").distinct().withColumn("mapped", F.lit(True))
@@ -128,6 +128,50 @@ def histogram(ticks: DataFrame, column: str) -> DataFrame:
     return ticks.groupBy("session_date_ny", F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def trade_activity(ticks: DataFrame) -> DataFrame:
+    """session_date_ny, record_count, trade_event_count, trade_volume: one aggregation, nothing else is read."""
+    trade = F.col("action") == "T"
+    volume = F.sum(F.when(trade, F.col("size")).otherwise(0))
+    return ticks.groupBy("session_date_ny").agg(F.count(F.lit(1)).alias("record_count"), F.count_if(trade).alias("trade_event_count"), volume.alias("trade_volume"))
+
+
+def _endpoints() -> list[Column]:
+    ends = [f(c, "event_idx_day") for c in ("ts_event_raw", "ts_recv_raw") for f in (F.min_by, F.max_by)]
+    named = [x.alias(n) for x, n in zip(ends, ("first_event_ns", "last_event_ns", "first_recv_ns", "last_recv_ns"), strict=True)]
+    return [*named, F.min("ts_event_raw").alias("min_event_ns"), F.max("ts_event_raw").alias("max_event_ns")]
+
+
+def session_endpoints(ticks: DataFrame) -> DataFrame:
+    """session_date_ny with the first and last timestamps by place, and the smallest and largest event time."""
+    return ticks.groupBy("session_date_ny").agg(*_endpoints())
+
+
+def instrument_sets(ticks: DataFrame) -> DataFrame:
+    """session_date_ny, instrument_ids in order."""
+    return ticks.groupBy("session_date_ny").agg(F.sort_array(F.collect_set("instrument_id")).alias("instrument_ids"))
+
+
+def _largest_gap() -> Column:
+    return F.greatest(F.coalesce(F.max("recv_step"), F.lit(0)), F.lit(0)).alias("max_recv_gap_ns")
+
+
+def largest_gaps(ticks: DataFrame) -> DataFrame:
+    """session_date_ny, max_recv_gap_ns: the row before is looked up for its receive time alone."""
+    rows = with_previous(ticks.select("session_date_ny", "event_idx_day", "ts_recv_raw"), ["ts_recv_raw"])
+    return rows.withColumn("recv_step", F.expr(f"cast({RECV_STEP} as bigint)")).groupBy("session_date_ny").agg(_largest_gap())
+
+
+def count_checks(ticks: DataFrame, names: list[str], mappings: DataFrame | None = None) -> DataFrame:
+    """session_date_ny, check_name, n, first_event_idx for these row and order checks alone, as :func:`check_rows` tells
+    them; without order checks no row before is looked up."""
+    rows = checked_rows(ticks, mappings, order=any(n in ORDER_CHECKS for n in names))
+    known = ROW_CHECKS | ORDER_CHECKS
+    hit = {n: F.coalesce(F.expr(known[n]), F.lit(False)) for n in names}
+    counted = [x for n in names for x in (F.count_if(hit[n]).alias(f"c_{n}"), F.min(F.when(hit[n], F.col("event_idx_day"))).alias(f"e_{n}"))]
+    told = F.explode(F.array(*(F.struct(F.lit(n).alias("check_name"), F.col(f"c_{n}").alias("n"), F.col(f"e_{n}").alias("first_event_idx")) for n in names)))
+    return rows.groupBy("session_date_ny").agg(*counted).select("session_date_ny", told.alias("x")).select("session_date_ny", "x.*")
+
+
 def _map(names: list[str], column: str) -> Column:
     return F.create_map(*(x for n in names for x in (F.lit(n), F.col(f"{column}{n}"))))
 
@@ -141,15 +185,12 @@ def session_audit(ticks: DataFrame, sessions: DataFrame | None = None, mappings:
     marked = [*ROW_CHECKS, *ORDER_CHECKS]
     hits = {f"h_{n}": F.coalesce(F.expr(p), F.lit(False)) for n, p in (ROW_CHECKS | ORDER_CHECKS).items()}
     trade = F.col("action") == "T"
-    by_place = lambda c: [F.min_by(c, "event_idx_day"), F.max_by(c, "event_idx_day")]
     one = rows.withColumns(hits).groupBy("session_date_ny").agg(
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(trade).alias("trade_event_count"),
         F.sum(F.when(trade, F.col("size")).otherwise(0)).alias("trade_volume"),
-        *(x.alias(n) for x, n in zip(by_place("ts_event_raw") + by_place("ts_recv_raw"), ("first_event_ns", "last_event_ns", "first_recv_ns", "last_recv_ns"), strict=True)),
-        F.min("ts_event_raw").alias("min_event_ns"),
-        F.max("ts_event_raw").alias("max_event_ns"),
-        F.greatest(F.coalesce(F.max("recv_step"), F.lit(0)), F.lit(0)).alias("max_recv_gap_ns"),
+        *_endpoints(),
+        _largest_gap(),
         F.sort_array(F.collect_set("instrument_id")).alias("instrument_ids"),
         F.min("start_ns").alias("start_ns"),
         F.min("end_ns").alias("end_ns"),

@@ -92,12 +92,19 @@ def warning_context(ticks: DataFrame, targets: DataFrame, reach: int = 2) -> Dat
     return ticks.join(places, ["session_date_ny", "event_idx_day"], "left_semi")
 
 
-def totals(audit: DataFrame) -> DataFrame:
-    """One row: sessions, empty sessions, records, trades, volume, sessions with errors and with warnings."""
-    return audit.agg(
+def totals(audit: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
+    """One row: sessions, empty sessions, records, trades, volume, sessions with errors and with warnings, and the dates
+    of the empty, faulty and warned ones; with an inventory (file_bytes) also its files and bytes."""
+    dates = lambda which: F.sort_array(F.collect_list(F.when(which, F.col("session_date_ny"))))
+    wrong, warned = F.size("errors") > 0, F.size("warnings") > 0
+    found = audit.agg(
         F.count(F.lit(1)).alias("sessions"), F.count_if("empty").alias("empty_sessions"), F.sum("record_count").alias("records"), F.sum("trade_event_count").alias("trades"),
-        F.sum("trade_volume").alias("volume"), F.count_if(F.size("errors") > 0).alias("error_sessions"), F.count_if(F.size("warnings") > 0).alias("warning_sessions"),
+        F.sum("trade_volume").alias("volume"), F.count_if(wrong).alias("error_sessions"), F.count_if(warned).alias("warning_sessions"),
+        dates(F.col("empty")).alias("empty_dates"), dates(wrong).alias("error_dates"), dates(warned).alias("warning_dates"),
     )
+    if inventory is None:
+        return found
+    return found.join(inventory.agg(F.count(F.lit(1)).alias("raw_files"), F.sum("file_bytes").alias("raw_bytes")))  # a row each
 
 
 def records_per_day(ticks: DataFrame) -> DataFrame:

@@ -14,21 +14,24 @@ from pyspark.sql import functions as F
 from ..functions.ticks import iso_date, weekdays
 
 ROLES = ("development", "validation", "final_test")
-#: The frozen policy.
-POLICY = {
-    "schema_version": 1,
-    "policy_id": "chronological-splits-v1",
-    "frozen_on": "2026-10-01",
-    "assignment_key": "session_date_ny",
-    "timezone": "America/New_York",
-    "coverage_start": "2021-09-27",
-    "coverage_end": "2026-09-25",
-    "splits": [
-        {"name": "development", "start": "2021-09-27", "end": "2024-09-30"},
-        {"name": "validation", "start": "2024-10-01", "end": "2025-09-30"},
-        {"name": "final_test", "start": "2025-10-01", "end": "2026-09-25"},
-    ],
+#: The frozen policy, byte by byte, as its hash is taken over the text.
+POLICY_TEXT = """{
+  "schema_version": 1,
+  "policy_id": "gc-mbp1-chronological-v1",
+  "frozen_on": "2026-10-01",
+  "assignment_key": "session_date_ny",
+  "timezone": "America/New_York",
+  "coverage_start": "2021-09-27",
+  "coverage_end": "2026-09-25",
+  "selection_basis": "Approximately 60/20/20 elapsed time, whole sessions and month-end boundaries; no outcome-based selection",
+  "splits": [
+    {"name": "development", "start": "2021-09-27", "end": "2024-09-30"},
+    {"name": "validation", "start": "2024-10-01", "end": "2025-09-30"},
+    {"name": "final_test", "start": "2025-10-01", "end": "2026-09-25"}
+  ]
 }
+"""
+POLICY = json.loads(POLICY_TEXT)
 
 
 @dataclass(frozen=True)
@@ -44,28 +47,34 @@ class Split:
         return first <= self.end and self.start <= last
 
 
+def _spans(policy: dict) -> list[Split]:
+    return [Split(s["name"], iso_date(s["start"]), iso_date(s["end"])) for s in policy["splits"]]
+
+
+#: What a policy must hold to, by name; each rule gets the policy and its splits.
+RULES = {
+    "its days run from the start of the coverage to its end, each in one split": lambda p, s: (
+        [x.start for x in s] + [s[-1].end + timedelta(days=1)] == [iso_date(p["coverage_start"]), *(x.end + timedelta(days=1) for x in s)] and s[-1].end == iso_date(p["coverage_end"])
+    ),
+    "no split ends before it starts": lambda p, s: all(x.start <= x.end for x in s),
+    "the splits are development, validation and final_test": lambda p, s: tuple(x.name for x in s) == ROLES,
+    "a holdout starts with a month": lambda p, s: {x.start.day for x in s[1:]} == {1},
+    "sessions are assigned by their New York date, under version 1": lambda p, s: (p["schema_version"], p["assignment_key"], p["timezone"]) == (1, "session_date_ny", "America/New_York"),
+}
+
+
 def parse_policy(policy: dict) -> MappingProxyType[str, Split]:
-    """The splits of a policy by name; ValueError unless they follow each other and fill the coverage exactly."""
-    expected = {"schema_version": 1, "assignment_key": "session_date_ny", "timezone": "America/New_York"}
-    if any(policy[k] != v for k, v in expected.items()):
-        raise ValueError("this kind of split policy is not supported")
-    if tuple(s["name"] for s in policy["splits"]) != ROLES:
-        raise ValueError(f"the splits must be {', '.join(ROLES)}, in this order")
-    splits = [Split(s["name"], iso_date(s["start"]), iso_date(s["end"])) for s in policy["splits"]]
-    edges = [iso_date(policy["coverage_start"]), *(s.end + timedelta(days=1) for s in splits)]
-    for split, due in zip(splits, edges, strict=False):
-        if split.start != due or split.start > split.end:
-            raise ValueError(f"{split.name} must begin on {due} and not end before it begins")
-    if any(s.start.day != 1 for s in splits[1:]):
-        raise ValueError("a holdout must begin with a month")
-    if edges[-1] != iso_date(policy["coverage_end"]) + timedelta(days=1):
-        raise ValueError("the splits must fill the coverage")
+    """The splits of a policy by name; ValueError with all the rules that it breaks."""
+    splits = _spans(policy)
+    broken = [rule for rule, holds in RULES.items() if not holds(policy, splits)]
+    if broken:
+        raise ValueError("the policy breaks: " + "; ".join(broken))
     return MappingProxyType({s.name: s for s in splits})
 
 
 SPLITS = parse_policy(POLICY)
 POLICY_ID = POLICY["policy_id"]
-POLICY_SHA256 = hashlib.sha256(json.dumps(POLICY, sort_keys=True).encode()).hexdigest()
+POLICY_SHA256 = hashlib.sha256(POLICY_TEXT.encode()).hexdigest()
 
 
 def split_of(day: str, splits: MappingProxyType[str, Split] = SPLITS) -> str:

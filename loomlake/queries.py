@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from .functions import ticks as tf
 from .operators import audit as A
 from .operators import native, normalize, order, products, store
 from .plans import policy, resources
-from .schema import FLAG_BITS, NATIVE_COLUMNS, UNDEF_TIMESTAMP
+from .schema import FLAG_BITS, NATIVE, NATIVE_COLUMNS, UNDEF_TIMESTAMP, column_of
+from .session import shared_folder
+from .sources import access
 from .sources.adapters import TICKS_SQL, ticks_from_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,21 +108,36 @@ def _records_per_day(spark, sf_dir):
     return products.records_per_day(ticks_from_events(spark, sf_dir))
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """A published store of the ticks in the shared folder, built once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        ticks = ticks_from_events(spark, sf_dir)
+        months = [r["m"] for r in ticks.select(F.date_format("session_date_ny", "yyyy-MM").alias("m")).distinct().collect()]  # a row a month
+        root = f"{store.local_path(shared_folder(spark))}/store-{uuid.uuid4().hex}"
+        store.build_store(ticks, months, root, {}, config={})
+        _STORES[key] = root
+    return _STORES[key]
+
+
 @query("scan_project", f"{TICKS} SELECT CAST(ts_event_raw AS VARCHAR) AS ts_event, instrument_id, price, bid_px_00, ask_px_00 FROM ticks")
 def _scan_project(spark, sf_dir):
-    return ticks_from_events(spark, sf_dir).select(F.col("ts_event_raw").cast("string").alias("ts_event"), "instrument_id", "price", "bid_px_00", "ask_px_00")
+    rows = access.scan_development(spark, _store(spark, sf_dir), columns=["ts_event_raw", "instrument_id", "price", "bid_px_00", "ask_px_00"])
+    return _text(rows, "ts_event_raw").withColumnRenamed("ts_event_raw", "ts_event")
 
 
 @query("scan_date_range", f"{TICKS} SELECT session_date_ny, event_idx_day, sequence, action, size FROM ticks WHERE session_date_ny BETWEEN DATE '2024-01-08' AND DATE '2024-01-12'")
 def _scan_date_range(spark, sf_dir):
-    rows = ticks_from_events(spark, sf_dir).where(F.col("session_date_ny").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-12").cast("date")))
-    return rows.select("session_date_ny", "event_idx_day", "sequence", "action", "size")
+    return access.scan(spark, _store(spark, sf_dir), "2024-01-08", "2024-01-12", ["session_date_ny", "event_idx_day", "sequence", "action", "size"])
 
 
 @query("scan_one_day_all_columns", f"{TICKS} SELECT session_date_ny, event_idx_day, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' if c.endswith('_raw') else c for c in NATIVE_COLUMNS)} FROM ticks WHERE session_date_ny = DATE '2024-01-03'")
 def _scan_one_day(spark, sf_dir):
-    rows = _text(ticks_from_events(spark, sf_dir).where("session_date_ny = date '2024-01-03'"), "ts_event_raw", "ts_recv_raw")
-    return _long(rows, "length", "rtype", "publisher_id", "flags", "depth", "ts_in_delta")
+    rows = access.scan(spark, _store(spark, sf_dir), "2024-01-03", "2024-01-03").drop(*normalize.ADDED)
+    return _long(_text(rows, "ts_event_raw", "ts_recv_raw"), "length", "rtype", "publisher_id", "flags", "depth", "ts_in_delta")
 
 
 @query("month_predicate", f"{TICKS} SELECT strftime(session_date_ny, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS records FROM ticks WHERE strftime(session_date_ny, '%Y-%m') BETWEEN '2023-12' AND '2024-01' GROUP BY 1")
@@ -145,14 +163,8 @@ def _offsets(spark, sf_dir):
     return normalize.with_times(ticks_from_events(spark, sf_dir)).select("session_date_ny", "event_idx_day", "ns_from_0700", "minute_from_0700")
 
 
-@query("sentinel_to_null", f"{TICKS} SELECT session_date_ny, event_idx_day, {_DEFINED} AS ts_event_ns FROM ticks WHERE event_idx_day % 7 < 4")
+@query("sentinel_to_null", f"{TICKS} SELECT session_date_ny, event_idx_day, {_DEFINED} AS ts_event_ns FROM ticks")
 def _sentinel(spark, sf_dir):
-    rows = ticks_from_events(spark, sf_dir).where("event_idx_day % 7 < 4")
-    return rows.select("session_date_ny", "event_idx_day", tf.defined_ns(F.col("ts_event_raw")).alias("ts_event_ns"))
-
-
-@query("sentinel_to_null_all", f"{TICKS} SELECT session_date_ny, event_idx_day, {_DEFINED} AS ts_event_ns FROM ticks")
-def _sentinel_all(spark, sf_dir):
     return ticks_from_events(spark, sf_dir).select("session_date_ny", "event_idx_day", tf.defined_ns(F.col("ts_event_raw")).alias("ts_event_ns"))
 
 
@@ -235,7 +247,7 @@ def _gaps(spark, sf_dir):
 
 @query("max_gap", f"{ROWS} SELECT session_date_ny, CAST(greatest(coalesce(max(recv_step), 0), 0) AS BIGINT) AS max_recv_gap_ns FROM rows_ GROUP BY session_date_ny")
 def _max_gap(spark, sf_dir):
-    return _audit(spark, sf_dir).select("session_date_ny", "max_recv_gap_ns")
+    return A.largest_gaps(ticks_from_events(spark, sf_dir))
 
 
 # ---- the audit ----------------------------------------------------------------------------------------------------
@@ -243,12 +255,12 @@ def _max_gap(spark, sf_dir):
 
 @query("row_checks", f"{ROWS} {_check_sql(list(A.ROW_CHECKS))}")
 def _row_checks(spark, sf_dir):
-    return A.check_rows(_audit(spark, sf_dir), list(A.ROW_CHECKS))
+    return A.count_checks(ticks_from_events(spark, sf_dir), list(A.ROW_CHECKS), _mappings(spark, sf_dir))
 
 
 @query("lag_checks", f"{ROWS} {_check_sql(list(A.ORDER_CHECKS))}")
 def _lag_checks(spark, sf_dir):
-    return A.check_rows(_audit(spark, sf_dir), list(A.ORDER_CHECKS))
+    return A.count_checks(ticks_from_events(spark, sf_dir), list(A.ORDER_CHECKS))
 
 
 @query("exact_duplicates", f"{TICKS} {_DUP}")
@@ -258,7 +270,7 @@ def _exact(spark, sf_dir):
 
 @query("adjacent_duplicates", f"{ROWS} SELECT session_date_ny, CAST(count(*) FILTER (WHERE {A.ORDER_CHECKS['adjacent_exact_duplicates']}) AS BIGINT) AS n FROM rows_ GROUP BY session_date_ny")
 def _adjacent(spark, sf_dir):
-    return A.check_rows(_audit(spark, sf_dir), ["adjacent_exact_duplicates"]).select("session_date_ny", "n")
+    return A.count_checks(ticks_from_events(spark, sf_dir), ["adjacent_exact_duplicates"]).select("session_date_ny", "n")
 
 
 @query("natural_key_duplicates", "SELECT day, CAST(sum(n - 1) AS BIGINT) AS repeats FROM (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS n FROM lineitem GROUP BY 1, l_partkey, l_suppkey) GROUP BY day")
@@ -276,7 +288,7 @@ for _column in ("action", "side", "flags", "instrument_id"):
 
 @query("trade_volume", f"{TICKS} SELECT session_date_ny, CAST(count(*) FILTER (WHERE action = 'T') AS BIGINT) AS trade_event_count, CAST(coalesce(sum(size) FILTER (WHERE action = 'T'), 0) AS BIGINT) AS trade_volume FROM ticks GROUP BY session_date_ny")
 def _volume(spark, sf_dir):
-    return _audit(spark, sf_dir).select("session_date_ny", "trade_event_count", "trade_volume")
+    return A.trade_activity(ticks_from_events(spark, sf_dir)).drop("record_count")
 
 
 _END_COLUMNS = ["first_event_ns", "last_event_ns", "min_event_ns", "max_event_ns", "first_recv_ns", "last_recv_ns"]
@@ -289,12 +301,12 @@ _END_COLUMNS = ["first_event_ns", "last_event_ns", "min_event_ns", "max_event_ns
     + " FROM ticks GROUP BY session_date_ny",
 )
 def _endpoints(spark, sf_dir):
-    return _text(_audit(spark, sf_dir), *_END_COLUMNS).select("session_date_ny", *_END_COLUMNS)
+    return _text(A.session_endpoints(ticks_from_events(spark, sf_dir)), *_END_COLUMNS)
 
 
 @query("instrument_sets", f"{TICKS} SELECT session_date_ny, string_agg(CAST(instrument_id AS VARCHAR), ',' ORDER BY instrument_id) AS instrument_ids FROM (SELECT DISTINCT session_date_ny, instrument_id FROM ticks) GROUP BY session_date_ny")
 def _instruments(spark, sf_dir):
-    return _audit(spark, sf_dir).select("session_date_ny", F.array_join("instrument_ids", ",").alias("instrument_ids"))
+    return A.instrument_sets(ticks_from_events(spark, sf_dir)).withColumn("instrument_ids", F.array_join("instrument_ids", ","))
 
 
 _CLASSED = f"""{_ALL_CHECKS}, classed AS (SELECT session_date_ny, check_name, CASE WHEN check_name IN ({_STATUS_SETS['errors']}) THEN 'e' WHEN check_name IN ({_STATUS_SETS['warnings']}) THEN 'w' ELSE 'u' END AS class FROM long_ WHERE n > 0),
@@ -330,7 +342,7 @@ def _median_sql(c: str) -> str:
     + " FROM m",
 )
 def _activity(spark, sf_dir):
-    found = products.activity_flags(_audit(spark, sf_dir).select("session_date_ny", "record_count", "trade_volume"))
+    found = products.activity_flags(A.trade_activity(ticks_from_events(spark, sf_dir)).drop("trade_event_count"))
     twice = {f"{c}_median2": (F.col(f"{c}_median") * 2).cast("long") for c in ("record_count", "trade_volume")}
     return found.withColumns(twice).drop("record_count_median", "trade_volume_median")
 
@@ -356,13 +368,18 @@ def _context(spark, sf_dir):
     return products.warning_context(ticks_from_events(spark, sf_dir), targets).select("session_date_ny", "event_idx_day", "sequence", "action")
 
 
+_DATES = "(SELECT coalesce(string_agg(CAST(session_date_ny AS VARCHAR), ',' ORDER BY session_date_ny), '') FROM per WHERE {} <> '')"
+
+
 @query(
     "global_totals",
     f"""{_CLASSED} SELECT (SELECT CAST(count(*) AS BIGINT) FROM per) AS sessions, CAST(0 AS BIGINT) AS empty_sessions, (SELECT CAST(count(*) AS BIGINT) FROM ticks) AS records, (SELECT CAST(count(*) AS BIGINT) FROM ticks WHERE action = 'T') AS trades,
-(SELECT CAST(sum(size) AS BIGINT) FROM ticks WHERE action = 'T') AS volume, (SELECT CAST(count(*) AS BIGINT) FROM per WHERE errors <> '') AS error_sessions, (SELECT CAST(count(*) AS BIGINT) FROM per WHERE warnings <> '') AS warning_sessions""",
+(SELECT CAST(sum(size) AS BIGINT) FROM ticks WHERE action = 'T') AS volume, (SELECT CAST(count(*) AS BIGINT) FROM per WHERE errors <> '') AS error_sessions, (SELECT CAST(count(*) AS BIGINT) FROM per WHERE warnings <> '') AS warning_sessions,
+'' AS empty_dates, {_DATES.format('errors')} AS error_dates, {_DATES.format('warnings')} AS warning_dates""",
 )
 def _totals(spark, sf_dir):
-    return products.totals(_audit(spark, sf_dir))
+    found = products.totals(_audit(spark, sf_dir))
+    return found.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("empty_dates", "error_dates", "warning_dates")})
 
 
 @query("distinct_counts", f"{_SEGMENTS} SELECT CAST(count(DISTINCT instrument_id) AS BIGINT) AS instruments, CAST(count(DISTINCT roll_segment) AS BIGINT) AS segments FROM seg")
@@ -371,15 +388,8 @@ def _distinct(spark, sf_dir):
     return rows.agg(F.countDistinct("instrument_id").alias("instruments"), F.countDistinct("roll_segment").alias("segments"))
 
 
-@query("empty_sessions", f"{TICKS}, {_CALENDAR}, jan AS (SELECT * FROM cal WHERE session_date_ny BETWEEN DATE '2024-01-01' AND DATE '2024-03-29') SELECT j.session_date_ny, CAST(count(t.price) AS BIGINT) AS record_count, count(t.price) = 0 AS empty FROM jan j LEFT JOIN ticks t USING (session_date_ny) GROUP BY 1")
+@query("empty_sessions", f"{TICKS}, {_CALENDAR} SELECT c.session_date_ny, CAST(count(t.price) AS BIGINT) AS record_count, count(t.price) = 0 AS empty FROM cal c LEFT JOIN ticks t USING (session_date_ny) GROUP BY 1")
 def _empties(spark, sf_dir):
-    days = tf.calendar(spark, "2024-01-01", "2024-03-29")
-    ticks = ticks_from_events(spark, sf_dir)
-    return A.session_audit(ticks, sessions=days).select("session_date_ny", "record_count", "empty")
-
-
-@query("empty_sessions_all", f"{TICKS}, {_CALENDAR} SELECT c.session_date_ny, CAST(count(t.price) AS BIGINT) AS record_count, count(t.price) = 0 AS empty FROM cal c LEFT JOIN ticks t USING (session_date_ny) GROUP BY 1")
-def _empties_all(spark, sf_dir):
     return A.session_audit(ticks_from_events(spark, sf_dir), sessions=tf.calendar(spark, FIRST, LAST)).select("session_date_ny", "record_count", "empty")
 
 
@@ -396,7 +406,7 @@ def _missing(spark, sf_dir):
 @query("manifest_enrich", f"{TICKS}, {_CALENDAR}, per AS (SELECT session_date_ny, count(*) AS n FROM ticks GROUP BY 1) SELECT session_date_ny, 'f-' || session_date_ny AS raw_file, CAST(n AS BIGINT) AS record_count FROM cal JOIN per USING (session_date_ny)")
 def _enrich(spark, sf_dir):
     files = _calendar_inventory(spark).select(F.col("session_date").cast("date").alias("session_date_ny"), "raw_file", "record_count")
-    return products.enrich(files, _audit(spark, sf_dir).select("session_date_ny", "record_count"))
+    return products.enrich(files, A.trade_activity(ticks_from_events(spark, sf_dir)).select("session_date_ny", "record_count"))
 
 
 @query("mapping_interval_join", f"{TICKS}, s AS (SELECT DISTINCT session_date_ny FROM ticks), m(a, b, instrument_id) AS (VALUES (DATE '2023-12-20', DATE '2024-01-09', 100), (DATE '2024-01-09', DATE '2024-01-20', 101), (DATE '2024-01-15', DATE '2024-02-01', 102)) SELECT session_date_ny, CAST(instrument_id AS BIGINT) AS instrument_id FROM s JOIN m ON a <= session_date_ny AND session_date_ny < b")
@@ -421,9 +431,9 @@ def _split_summary(spark, sf_dir):
     return policy.split_summary(policy.assignments(_calendar_inventory(spark)))
 
 
-@query("count_mismatches", f"{TICKS}, {_CALENDAR}, per AS (SELECT session_date_ny, count(*) AS n FROM ticks GROUP BY 1), inv AS (SELECT session_date_ny, {_COUNT} AS n FROM cal WHERE session_date_ny BETWEEN DATE '2024-01-01' AND DATE '2024-01-31') SELECT coalesce(a.session_date_ny, b.session_date_ny) AS session_date_ny, CAST(a.n AS BIGINT) AS records, CAST(b.n AS BIGINT) AS expected FROM per a FULL JOIN inv b ON a.session_date_ny = b.session_date_ny WHERE a.n IS DISTINCT FROM b.n")
+@query("count_mismatches", f"{TICKS}, {_CALENDAR}, per AS (SELECT session_date_ny, count(*) AS n FROM ticks GROUP BY 1), inv AS (SELECT session_date_ny, {_COUNT} AS n FROM cal) SELECT coalesce(a.session_date_ny, b.session_date_ny) AS session_date_ny, CAST(a.n AS BIGINT) AS records, CAST(b.n AS BIGINT) AS expected FROM per a FULL JOIN inv b ON a.session_date_ny = b.session_date_ny WHERE a.n IS DISTINCT FROM b.n")
 def _mismatches(spark, sf_dir):
-    due = _calendar_inventory(spark).select(F.col("session_date").cast("date").alias("session_date_ny"), F.col("record_count").alias("expected")).where("session_date_ny between date '2024-01-01' and date '2024-01-31'")
+    due = _calendar_inventory(spark).select(F.col("session_date").cast("date").alias("session_date_ny"), F.col("record_count").alias("expected"))
     both = products.records_per_day(ticks_from_events(spark, sf_dir)).join(due, "session_date_ny", "full_outer")
     return both.where(~F.col("records").eqNullSafe(F.col("expected")))
 
@@ -451,7 +461,7 @@ def _key_union(spark, sf_dir):
 
 @query("json_encode", f"{TICKS}, g AS (SELECT session_date_ny, instrument_id FROM ticks GROUP BY ALL) SELECT '[' || string_agg(CAST(instrument_id AS VARCHAR), ',' ORDER BY instrument_id) || ']' AS instrument_ids, session_date_ny FROM g GROUP BY session_date_ny")
 def _json(spark, sf_dir):
-    return store.flat(_audit(spark, sf_dir).select("session_date_ny", "instrument_ids"))
+    return store.flat(A.instrument_sets(ticks_from_events(spark, sf_dir)))
 
 
 @query("content_sha256", "SELECT page_id, sha256(html) AS sha256 FROM pages")
@@ -471,7 +481,19 @@ def _round_trip(spark, sf_dir):
     return back.join(ticks, back.columns).groupBy("session_date_ny").agg(F.count(F.lit(1)).alias("same"))
 
 
-@query("ordered_digest")
+def _little_endian(column: str, kind: str) -> str:
+    """A native field as hexadecimal text, lowest byte first."""
+    if kind == "S1":
+        return f"format('{{:02x}}', ascii({column}))"
+    width = int(kind[2])
+    whole = f"((CAST({column} AS HUGEINT) + {256**width}) % {256**width})"
+    return " || ".join(f"format('{{:02x}}', CAST(({whole} // {256**k}) % 256 AS INTEGER))" for k in range(width))
+
+
+_RECORD_HEX = " || ".join(_little_endian(column_of(n), k) for n, k in NATIVE)
+
+
+@query("ordered_digest", f"{TICKS}, r AS (SELECT session_date_ny, event_idx_day, {_RECORD_HEX} AS h FROM ticks) SELECT session_date_ny, CAST(count(*) AS BIGINT) AS records, sha256(unhex(string_agg(h, '' ORDER BY event_idx_day))) AS sha256 FROM r GROUP BY session_date_ny")
 def _digest(spark, sf_dir):
     return native.ordered_digest(ticks_from_events(spark, sf_dir))
 

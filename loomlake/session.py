@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -12,6 +14,7 @@ SETTINGS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.hadoop.parquet.page.verify-checksum.enabled": "true",
     "spark.hadoop.parquet.page.write-checksum.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -19,3 +22,14 @@ def session(master: str | None = None, name: str = "loomlake", **more: str) -> S
     """A session with SETTINGS; ``more`` adds or replaces settings (dots as double underscores)."""
     builder = SparkSession.builder.appName(name).config(map=SETTINGS | {k.replace("__", "."): v for k, v in more.items()})
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, one of our own on a single machine."""
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = context.getConf().get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomlake-shared-"))
+    return context._jsc.sc().getCheckpointDir().get()

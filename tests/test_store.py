@@ -4,8 +4,10 @@ from pathlib import Path
 
 import pytest
 from helpers import DAY, records, ticks
+from pyspark.sql import functions as F
 
 from loomlake.operators import native, store
+from loomlake.operators.normalize import normalize
 from loomlake.sources import access, bronze
 from loomlake.sources.access import committed_files, row_groups_met, scan, scan_development
 from loomlake.streaming.sessions import audit_stream, tick_stream
@@ -40,6 +42,84 @@ def test_store_round_trip_and_guards(spark, built):
     assert 1 <= met <= total
 
 
+def test_parts_hold_one_session_each_in_order(spark, built):
+    import pyarrow.parquet as pq
+
+    _, root, done = built
+    parts = [root / f"year=2024/month={c['month'][5:]}" / f["name"] for c in done for f in c["files"]]
+    days = [pq.read_table(p, columns=["session_date_ny"])["session_date_ny"].to_pylist() for p in parts]
+    assert [set(d) for d in days] == [{date(2024, 9, 2)}, {date(2024, 9, 3)}, {date(2024, 10, 1)}]
+    schema = spark.read.parquet(str(parts[0])).schema
+    store.require_order(parts[0].parent, schema, spark)
+    turned = pq.read_table(parts[0])
+    pq.write_table(turned.take(list(range(turned.num_rows))[::-1]), parts[0])
+    with pytest.raises(ValueError, match="delivery order"):
+        store.require_order(parts[0].parent, schema, spark)
+
+
+def test_parts_and_groups_are_capped(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = ticks(spark, (DAY, records(50)), ("2024-09-03", records(45, "2024-09-03")))
+    store.write_parts(normalize(rows), tmp_path / "s", part_rows=20, group_rows=8)
+    parts = sorted((tmp_path / "s").glob("part-*.parquet"))
+    tables = [pq.read_table(p) for p in parts]
+    assert all(t.num_rows <= 20 for t in tables) and sum(t.num_rows for t in tables) == 95
+    places = [(d, i) for t in tables for d, i in zip(t["session_date_ny"].to_pylist(), t["event_idx_day"].to_pylist(), strict=True)]
+    assert places == sorted(places) and all(len(set(t["session_date_ny"].to_pylist())) == 1 for t in tables)
+    store.require_order(tmp_path / "s", normalize(rows).schema, spark)
+
+
+def test_months_start_from_the_state_before_them(spark, tmp_path):
+    days = ["2024-07-30", "2024-07-31", "2024-08-01", "2024-10-01"]
+    sessions = [(d, records(3, d)) for d in days]
+    for (_, found), i in zip(sessions, (100, 101, 101, 102), strict=True):
+        found["instrument_id"] = i
+    rows = ticks(spark, *sessions)
+    months = ["2024-10", "2024-07", "2024-09", "2024-08"]
+    states = store.month_states(rows, months)
+    assert [tuple(states[m].values()) for m in sorted(months)] == [(None, 1), (101, 2), (101, 2), (101, 2)]
+    done = store.build_store(rows, months, tmp_path / "s", {}, config={})
+    assert [c["month"] for c in done] == sorted(months) and done[-1]["outgoing_state"] == {"last_id": 102, "roll_segment": 3}
+    stored = scan(spark, tmp_path / "s", "2024-07-01", "2024-10-31", allow_validation=True)
+    told = store.verify(stored, rows, tmp_path / "s")
+    assert told["guards"] == {"validation": "PASS", "final_test": "PASS"} and told["pruning"]["row_groups"] == 1 and (told["months"], told["records"]) == (4, 12)
+    assert [(str(r["session_date_ny"]), r["instrument_id"], r["roll_segment"], r["contract_change"]) for r in told["roll_boundary"]] == [("2024-07-30", 100, 1, False), ("2024-07-31", 101, 2, True)]
+
+
+def test_verification_finds_each_fault(spark, built):
+    rows, root, _ = built
+    stored = scan(spark, root, "2024-09-01", "2024-10-31", allow_validation=True)
+    with pytest.raises(ValueError, match="native-byte"):
+        store.verify(stored, rows.withColumn("price", F.col("price") + 1), root)
+    with pytest.raises(ValueError, match="additive"):
+        store.verify(stored, rows, root, incoming_segment=4)
+    with pytest.raises(ValueError, match="additive"):
+        store.verify(stored, rows, root, incoming_id=99)
+    place = root / "year=2024/month=09/_SUCCESS.json"
+    told = json.loads(place.read_text())
+    store.write_json(place, told | {"files": [f | {"rows": f["rows"] + 1} for f in told["files"]]})
+    with pytest.raises(ValueError, match="checkpoint"):
+        store.verify(stored, rows, root)
+    store.write_json(place, told | {"files": [f | {"sha256": "0"} for f in told["files"]]})
+    with pytest.raises(ValueError, match="modified"):
+        store.verify(stored, rows, root)
+    assert store.verify(stored, rows, root, hashes=False)["status"] == "PASS"
+    store.write_json(place, told | {"fingerprint": "other"})
+    with pytest.raises(ValueError, match="fingerprints"):
+        store.verify(stored, rows, root)
+
+
+def test_hashes_on_executors(spark, tmp_path):
+    paths = [tmp_path / str(i) for i in range(3)]
+    for i, p in enumerate(paths):
+        p.write_bytes(b"x" * i)
+    assert store.file_hashes(spark, paths) == {str(p): store.file_sha256(p) for p in paths} and store.file_hashes(spark, []) == {}
+    assert store.local_path("file:/a/b") == "/a/b" and store.local_path("/a") == "/a"
+    with pytest.raises(ValueError):
+        store.local_path("hdfs://x/y")
+
+
 def test_reuse_leaves_files_alone_and_finds_changes(spark, built):
     rows, root, done = built
     part = next(root.glob("year=2024/month=09/part-*.parquet"))
@@ -180,6 +260,37 @@ def test_stream_gives_the_batch_audit(spark, tmp_path):
     assert streamed.count() == 2
 
 
+def test_native_bytes_round_trip_by_buffers():
+    import numpy as np
+    import pyarrow as pa
+
+    found = records(7)
+    found["ts_event"][2], found["price"][3], found["ts_in_delta"][1], found["ts_recv"][0] = 2**64 - 1, -(2**63), -5, 2**63
+    found["action"][4] = b""
+    back = native.unpack(found.tobytes())
+    assert native.pack(back).tobytes() == found.tobytes()
+    assert [int(x) for x in back["ts_event_raw"].to_pylist()] == found["ts_event"].tolist() and back["action"].to_pylist()[4] == ""
+    whole = pa.record_batch(list(back.values()), names=list(back)).slice(2, 4)
+    assert native.pack({c: whole.column(c) for c in whole.schema.names}).tobytes() == found[2:6].tobytes()
+    assert len(native.pack(native.unpack(b""))) == 0 and native.unpack(np.zeros(0, native.RECORD).tobytes())["size"].to_pylist() == []
+    with pytest.raises(ValueError):
+        native.unpack(b"x")
+
+
+def test_totals_tell_dates_and_bytes(spark):
+    from loomlake.functions.ticks import calendar
+    from loomlake.operators.audit import session_audit
+    from loomlake.operators.products import totals
+
+    bad = records(4, "2024-09-03")
+    bad["rtype"][1] = 2
+    audit = session_audit(ticks(spark, (DAY, records()), ("2024-09-03", bad)), sessions=calendar(spark, "2024-09-02", "2024-09-04"))
+    files = spark.createDataFrame([("a", 10), ("b", 5)], "raw_file string, file_bytes long")
+    row = totals(audit, files).first()
+    assert (row["sessions"], row["raw_files"], row["raw_bytes"]) == (3, 2, 15)
+    assert (row["empty_dates"], row["error_dates"], row["warning_dates"]) == ([date(2024, 9, 4)], [date(2024, 9, 3)], [date(2024, 9, 2), date(2024, 9, 3)])
+
+
 def test_loose_checksum_moves_with_a_value(spark):
     found = records()
     a = native.loose_checksum(ticks(spark, (DAY, found))).first()

@@ -198,7 +198,7 @@ def test_empty_table(spark):
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
 def test_sentinels_of_all_rows_are_converted(spark):
-    found = queries.QUERIES["sentinel_to_null_all"](spark, "/root/testdata/sf0.001")
+    found = queries.QUERIES["sentinel_to_null"](spark, "/root/testdata/sf0.001")
     raw = queries.ticks_from_events(spark, "/root/testdata/sf0.001").select("session_date_ny", "event_idx_day", "ts_event_raw").collect()
     want = {(r[0], r[1]): None if int(r[2]) == UNDEF_TIMESTAMP else int(r[2]) for r in raw}
     mine = {(r["session_date_ny"], r["event_idx_day"]): r["ts_event_ns"] for r in found.collect()}
@@ -207,5 +207,5 @@ def test_sentinels_of_all_rows_are_converted(spark):
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
 def test_empty_sessions_of_the_whole_calendar(spark):
-    found = {r["session_date_ny"] for r in queries.QUERIES["empty_sessions_all"](spark, "/root/testdata/sf0.001").collect()}
+    found = {r["session_date_ny"] for r in queries.QUERIES["empty_sessions"](spark, "/root/testdata/sf0.001").collect()}
     assert found == {r[0] for r in tf.calendar(spark, queries.FIRST, queries.LAST).collect()} and max(found) > date(2024, 3, 29) and min(found) < date(2024, 1, 1)
