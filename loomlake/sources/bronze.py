@@ -7,12 +7,14 @@ lists and mappings. Files are inspected and decoded on the executors, one partit
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 from pathlib import Path
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions.ticks import FILE_NAME, session_bounds, weekdays
+from ..functions.ticks import DEGRADED, FILE_NAME, session_bounds, weekdays
 from ..operators.native import RECORD, unpack
-from ..schema import NATIVE, NATIVE_COLUMNS, RECORD_BYTES, TICK_SCHEMA, column_of
+from ..schema import NATIVE_COLUMNS, RECORD_BYTES, TICK_SCHEMA
 
-CHUNK = 250_000
+#: Rows of a decoded batch, and bytes of a file that are read at once.
+CHUNK, BLOCK = 250_000, 64 << 10
 #: The header's fixed fields (dataset, schema, start, end, limit, stype in and out, ts_out, symbol width).
 FIXED = struct.Struct("<16sHQQQBBBH53x")
 VERSION, SYMBOL_WIDTH = 3, 71
@@ -100,68 +103,128 @@ def decode_header(raw: bytes) -> tuple[Header, int]:
     return Header(version, _text(dataset), schema, start, end, limit, stype_in, stype_out, ts_out, symbols, partial, not_found, mappings), 8 + size
 
 
+class Inflated:
+    """A zstd file of any number of frames, read and decompressed in blocks; sizes and hash are known at the end."""
+
+    def __init__(self, file: BinaryIO):
+        self.file, self.digest = file, hashlib.sha256()
+        self.read = self.size = self.frames = 0
+
+    def __iter__(self) -> Iterator[bytes]:
+        frame = None
+        while block := self.file.read(BLOCK):
+            self.read += len(block)
+            self.digest.update(block)
+            while block:
+                frame = frame or zstandard.ZstdDecompressor().decompressobj()
+                out, block = frame.decompress(block), b""
+                self.size += len(out)
+                if out:
+                    yield out
+                if frame.eof:
+                    frame, block, self.frames = None, frame.unused_data, self.frames + 1
+        if frame:
+            raise ValueError("Incomplete Zstandard frame: the file was cut off")
+
+
 def decompress(raw: bytes) -> tuple[bytes, int]:
     """All frames of a zstd file and their number; ValueError if the last one is cut off."""
-    out, frames = [], 0
-    while raw:
-        part = zstandard.ZstdDecompressor().decompressobj()
-        out.append(part.decompress(raw))
-        if not part.eof:
-            raise ValueError("Incomplete Zstandard frame at EOF")
-        frames, raw = frames + 1, part.unused_data
-    return b"".join(out), frames
-
-
-def inspect(path: str, raw: bytes, marker: bool) -> dict:
-    """One file's inventory row; a fault is told in ``error``, never raised."""
-    name = Path(path).name
-    row: dict = {"raw_file": name, "file_bytes": len(raw), "session_date": None, "done_marker": marker, "sha256": hashlib.sha256(raw).hexdigest(),
-                 "uncompressed_bytes": None, "zstd_frames": None, "record_count": None, "empty": None, "error": None}
+    file = Inflated(io.BytesIO(raw))
+    return b"".join(file), file.frames
+
+
+def read_header(blocks: Iterator[bytes]) -> tuple[bytes, bytes]:
+    """(the header's bytes, what was read beyond them); ValueError if the file ends before the header does."""
+    held, size = b"", 8
+    for block in blocks:
+        held += block
+        if len(held) >= 8:
+            size = 8 + struct.unpack_from("<I", held, 4)[0]
+        if len(held) >= size and size > 8:
+            return held[:size], held[size:]
+    raise ValueError("the header is cut off")
+
+
+def _known(path: str, file: BinaryIO, marker: bytes | None, changed: Callable[[], bool]) -> dict:
+    """What can be told of a file without judging it; reading stops at a fault, which is told as ``fault``."""
+    name, row = Path(path).name, dict.fromkeys(INVENTORY_NAMES)
+    match = re.fullmatch(FILE_NAME, name)
+    row |= {"raw_file": name, "session_date": match[1] if match else None, "done_marker": marker is not None, "folder": Path(path).parent.name, "head": None, "fault": None}
+    if marker is not None:
+        row |= {"marker_bytes": len(marker), "marker_sha256": hashlib.sha256(marker).hexdigest()}
+    inflated = Inflated(file)
     try:
-        match = re.fullmatch(FILE_NAME, name)
-        if not match:
-            raise ValueError("Unexpected raw filename")
-        row["session_date"] = day = match[1]
-        if Path(path).parent.name != day[:4]:
-            raise ValueError("Year directory disagrees with session date")
-        if not marker:
-            raise ValueError("Missing completion marker")
-        body, row["zstd_frames"] = decompress(raw)
-        row["uncompressed_bytes"] = len(body)
-        header, size = decode_header(body)
-        if any(getattr(header, k) != v for k, v in REQUEST.items()):
-            raise ValueError("header differs from the frozen request")
-        if (header.start, header.end) != session_bounds(day):
-            raise ValueError("request window differs from the session's bounds")
-        if len(body) < size or (len(body) - size) % RECORD_BYTES:
-            raise ValueError("Incomplete record or header length mismatch")
-        row["record_count"] = (len(body) - size) // RECORD_BYTES
-        row["empty"] = row["record_count"] == 0
-    except Exception as error:
-        row["error"] = f"{type(error).__name__}: {error}"
-    return row
-
-
-INVENTORY = "raw_file string, file_bytes long, session_date string, done_marker boolean, sha256 string, uncompressed_bytes long, zstd_frames int, record_count long, empty boolean, error string"
+        blocks = iter(inflated)
+        row["header"], _ = read_header(blocks)
+        row["head"] = decode_header(row["header"])[0]
+        for _ in blocks:  # only counted
+            pass
+        row |= {"uncompressed_bytes": inflated.size, "zstd_frames": inflated.frames}
+    except Exception as error:  # any fault of a file belongs in its row
+        row["fault"] = f"{type(error).__name__}: {error}"
+        while block := file.read(BLOCK):
+            inflated.read += len(block)
+            inflated.digest.update(block)
+    return row | {"file_bytes": inflated.read, "sha256": inflated.digest.hexdigest(), "degraded_source": row["session_date"] in DEGRADED if match else None, "changed": changed()}
+
+
+#: What must hold of a source file, and what is said where it does not; the first of them is the file's error.
+JUDGEMENTS: list[tuple[str, Callable[[dict], bool]]] = [
+    ("its name is not that of a session's file", lambda f: f["session_date"] is not None),
+    ("it lies in the folder of another year", lambda f: f["folder"] == f["session_date"][:4]),
+    ("Missing completion marker", lambda f: f["done_marker"]),
+    ("{fault}", lambda f: f["fault"] is None),
+    ("the header tells of another request", lambda f: all(getattr(f["head"], k) == v for k, v in REQUEST.items())),
+    ("the header's window is not the session's", lambda f: (f["head"].start, f["head"].end) == session_bounds(f["session_date"])),
+    ("the last record is not whole", lambda f: (f["uncompressed_bytes"] - len(f["header"])) % RECORD_BYTES == 0),
+    ("it changed while it was read", lambda f: not f["changed"]),
+]
+
+
+def inspect(path: str, file: BinaryIO | bytes, marker: bytes | None, changed: Callable[[], bool] = lambda: False) -> dict:
+    """One file's inventory row; a fault is told in ``error``, never raised. The file is read in blocks."""
+    found = _known(path, io.BytesIO(file) if isinstance(file, bytes) else file, marker, changed)
+    wrong = next((said.format(**found) for said, holds in JUDGEMENTS if not holds(found)), None)
+    if wrong is None:
+        found["record_count"] = (found["uncompressed_bytes"] - len(found["header"])) // RECORD_BYTES
+        found["empty"] = found["record_count"] == 0
+    return {k: found[k] for k in INVENTORY_NAMES} | {"error": wrong}
+
+
+def inspect_path(path: str | Path) -> dict:
+    """:func:`inspect` for a file on a mounted file system; it must not change meanwhile."""
+    path, marker = Path(path), Path(f"{path}.done")
+    state = lambda: (path.stat().st_size, path.stat().st_mtime_ns)
+    before = state()
+    with path.open("rb") as file:
+        return inspect(str(path), file, marker.read_bytes() if marker.is_file() else None, lambda: state() != before)
+
+
+INVENTORY = (
+    "raw_file string, file_bytes long, session_date string, done_marker boolean, sha256 string, marker_sha256 string, marker_bytes long, header binary, "
+    "uncompressed_bytes long, zstd_frames int, record_count long, empty boolean, degraded_source boolean, error string"
+)
+INVENTORY_NAMES = [x.split()[0] for x in INVENTORY.split(", ")]
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row for each record file below ``root``, inspected on the executors."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    paths = files.select("path")
-    markers = paths.where(F.col("path").endswith(".done")).select(F.expr("substring(path, 1, length(path) - 5)").alias("path"), F.lit(True).alias("marker"))
-    data = files.where(F.col("path").endswith(".dbn.zst")).select("path", "content").join(markers, "path", "left").withColumn("marker", F.coalesce("marker", F.lit(False)))
+    markers = files.where(F.col("path").endswith(".done")).select(F.expr("substring(path, 1, length(path) - 5)").alias("path"), F.col("content").alias("marker"))
+    data = files.where(F.col("path").endswith(".dbn.zst")).select("path", "length", "content").join(markers, "path", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [inspect(p, c, m) for p, c, m in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=_INVENTORY_ARROW)
+            for path, length, content, marker in zip(*batch.columns, strict=True):
+                raw, listed = content.as_py(), length.as_py()
+                row = inspect(path.as_py(), raw, marker.as_py(), lambda raw=raw, listed=listed: len(raw) != listed)
+                yield pa.RecordBatch.from_pylist([row], schema=_INVENTORY_ARROW)
 
-    return data.select("path", "content", "marker").mapInArrow(run, INVENTORY)
+    return data.select("path", "length", "content", "marker").mapInArrow(run, INVENTORY)
 
 
-_INVENTORY_ARROW = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[k]) for n, k in (x.split() for x in INVENTORY.split(", "))])
+_ARROW_KINDS = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+_INVENTORY_ARROW = pa.schema([(n, _ARROW_KINDS[k]) for n, k in (x.split() for x in INVENTORY.split(", "))])
 
 
 def inventory_issues(spark: SparkSession, root: str, rows: DataFrame, first: date, last: date) -> DataFrame:
@@ -195,8 +258,7 @@ def header_audit(spark: SparkSession, root: str, expected: DataFrame) -> DataFra
         for batch in batches:
             heads = []
             for raw in batch.column("content").to_pylist():
-                body, _ = decompress(raw)
-                heads.append(body[: decode_header(body)[1]])
+                heads.append(read_header(iter(Inflated(io.BytesIO(raw))))[0])  # no more than the first blocks
             yield pa.RecordBatch.from_arrays([batch.column("raw_file"), pa.array(heads, pa.binary())], names=["raw_file", "found_header"])
 
     heads = named.where(F.col("raw_file").endswith(".dbn.zst")).mapInArrow(run, "raw_file string, found_header binary")
@@ -205,17 +267,31 @@ def header_audit(spark: SparkSession, root: str, expected: DataFrame) -> DataFra
     return both.select("raw_file", F.col("header").eqNullSafe(F.col("found_header")).alias("header_same"), F.col("marker").eqNullSafe(F.col("found_marker")).alias("marker_same"))
 
 
-def decoded(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
-    """One file's ticks in delivery order, CHUNK rows at a time."""
+def decoded(path: str, file: BinaryIO) -> Iterator[pa.RecordBatch]:
+    """One file's ticks in delivery order, CHUNK rows at a time; no more of the file is held than a chunk."""
     day = date.fromisoformat(re.fullmatch(FILE_NAME, Path(path).name)[1])
-    raw, _ = decompress(content)
-    body = raw[decode_header(raw)[1] :]
-    kinds = {"<u1": pa.int16(), "<u2": pa.int32(), "<u4": pa.int64(), "<i4": pa.int32(), "<i8": pa.int64(), "<u8": pa.decimal128(20, 0), "S1": pa.string()}
-    for start in range(0, len(body) // RECORD_BYTES, CHUNK):
-        found = unpack(body[start * RECORD_BYTES : (start + CHUNK) * RECORD_BYTES])
-        n = len(found["length"])
-        arrays = [pa.array(found[column_of(name)], kinds[kind]) for name, kind in NATIVE]
-        yield pa.RecordBatch.from_arrays([pa.array([day] * n), pa.array(np.arange(start, start + n)), *arrays], names=["session_date_ny", "event_idx_day", *NATIVE_COLUMNS])
+    blocks = iter(Inflated(file))
+    head, first = read_header(blocks)
+    decode_header(head)
+    held, size, start = [first], len(first), 0
+
+    def ticks(body: bytes) -> pa.RecordBatch:
+        found, n = unpack(body), len(body) // RECORD_BYTES
+        places = pa.array(np.arange(start, start + n))
+        return pa.RecordBatch.from_arrays([pa.array([day] * n, pa.date32()), places, *(found[c] for c in NATIVE_COLUMNS)], names=["session_date_ny", "event_idx_day", *NATIVE_COLUMNS])
+
+    for block in blocks:
+        held.append(block)
+        size += len(block)
+        while size >= CHUNK * RECORD_BYTES:
+            body = b"".join(held)
+            yield ticks(body[: CHUNK * RECORD_BYTES])
+            held, size, start = [body[CHUNK * RECORD_BYTES :]], size - CHUNK * RECORD_BYTES, start + CHUNK
+    while size:
+        body = b"".join(held)
+        yield ticks(body[: CHUNK * RECORD_BYTES])  # ValueError for a record that is not whole
+        held = [body[CHUNK * RECORD_BYTES :]]
+        size, start = len(held[0]), start + CHUNK
 
 
 class _File(InputPartition):
@@ -231,7 +307,8 @@ class _Reader(DataSourceReader):
         return [_File(str(p)) for p in sorted(Path(self.root).rglob("*.dbn.zst"))]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-        yield from decoded(partition.path, Path(partition.path).read_bytes())
+        with open(partition.path, "rb") as file:
+            yield from decoded(partition.path, file)
 
 
 class BronzeSource(DataSource):
@@ -252,13 +329,13 @@ class BronzeSource(DataSource):
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """Ticks of every record file below ``root`` on any store that Spark reads; a task holds one decompressed file."""
+    """Ticks of every record file below ``root`` on any store that Spark reads; a task holds one file, compressed."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.dbn.zst").load(root)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                yield from decoded(path, content)
+            for path, content in zip(*batch.columns, strict=True):
+                yield from decoded(path.as_py(), io.BytesIO(content.as_py()))
 
     return files.select("path", "content").mapInArrow(run, TICK_SCHEMA)
 

@@ -234,6 +234,61 @@ def test_bronze_faults_are_told(spark, tmp_path):
     assert kinds == [("missing_date", "2024-09-04"), ("missing_date", "2024-09-05"), ("orphan_marker", odd.name), ("unexpected_file", "note.txt")]
 
 
+def test_files_are_decoded_in_chunks(tmp_path, monkeypatch):
+    import io
+
+    import numpy as np
+    import zstandard
+
+    found = np.concatenate([records(50)] * 4)
+    path = bronze.write_bronze(tmp_path, DAY, found, [])
+    raw, _ = bronze.decompress(path.read_bytes())
+    pack = zstandard.ZstdCompressor().compress
+    several = b"".join(pack(raw[i : i + 700]) for i in range(0, len(raw), 700))
+    for chunk, block in ((7, 5), (200, 64), (250_000, 1 << 16)):
+        monkeypatch.setattr(bronze, "CHUNK", chunk)
+        monkeypatch.setattr(bronze, "BLOCK", block)
+        batches = list(bronze.decoded(str(path), io.BytesIO(several)))
+        assert all(b.num_rows <= chunk for b in batches) and [i for b in batches for i in b.column("event_idx_day").to_pylist()] == list(range(200))
+        assert b"".join(native.pack({c: b.column(c) for c in native.NATIVE_COLUMNS}).tobytes() for b in batches) == found.tobytes()
+    with pytest.raises(ValueError, match="incomplete"):
+        list(bronze.decoded(str(path), io.BytesIO(pack(raw[:-1]))))
+    with pytest.raises(ValueError, match="Incomplete Zstandard"):
+        list(bronze.decoded(str(path), io.BytesIO(several[:-1])))
+    with pytest.raises(ValueError, match="cut off"):
+        list(bronze.decoded(str(path), io.BytesIO(pack(raw[:90]))))
+
+
+def test_inspection_tells_all_fields_and_each_fault(tmp_path):
+    import hashlib
+
+    import zstandard
+
+    path = bronze.write_bronze(tmp_path, "2024-09-18", records(3, "2024-09-18"), [], "marked\n")
+    good, pack = bronze.inspect_path(path), zstandard.ZstdCompressor().compress
+    raw, _ = bronze.decompress(path.read_bytes())
+    head, size = bronze.decode_header(raw)
+    assert (good["error"], good["record_count"], good["empty"], good["degraded_source"], good["zstd_frames"]) == (None, 3, False, True, 1)
+    assert good["marker_sha256"] == hashlib.sha256(b"marked\n").hexdigest() and good["marker_bytes"] == 7 and good["header"] == raw[:size]
+    assert good["sha256"] == hashlib.sha256(path.read_bytes()).hexdigest() and good["uncompressed_bytes"] == len(raw) and good["file_bytes"] == path.stat().st_size
+    body, at = path.read_bytes(), str(path)
+    head.limit = 5
+    faults = {
+        "name": bronze.inspect(at + "x", body, b""),
+        "another year": bronze.inspect(at.replace("/2024/", "/2023/"), body, b""),
+        "Missing completion marker": bronze.inspect(at, body, None),
+        "Incomplete Zstandard": bronze.inspect(at, body[:-1], b""),
+        "another request": bronze.inspect(at, pack(bronze.encode_header(head)), b""),
+        "window": bronze.inspect(at.replace("09-18", "09-19"), body, b""),
+        "not whole": bronze.inspect(at, pack(raw[:-1]), b""),
+        "not a record file": bronze.inspect(at, pack(b"x" * 500_000), b""),
+        "changed": bronze.inspect(at, body, b"", lambda: True),
+    }
+    for said, row in faults.items():
+        assert said in row["error"] or said == "not a record file" and "cut off" in row["error"], (said, row["error"])
+        assert row["record_count"] is None and row["sha256"] is not None
+
+
 def test_header_audit(spark, tmp_path):
     path = bronze.write_bronze(tmp_path, DAY, records(1), [], "a\nb\n")
     raw, _ = bronze.decompress(path.read_bytes())
