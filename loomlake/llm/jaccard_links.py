@@ -22,7 +22,9 @@ from ._shared import cut, pieces
 from .components import components
 from .simhash_cover import BROADCAST_ROWS, SEED, shingle_hashes
 
-WORDS, BANDS, ROWS = 5, 32, 5
+WORDS, BANDS, ROWS = 5, 24, 4
+#: Bytes of a shingle's hash that travel with a set: two different shingles of a pair agree in them once in 10^6 pairs.
+WIDTH = 5
 #: Rows of a bucket that one cell compares with each other, by side.
 CELL = 256
 _rng = np.random.default_rng(SEED)
@@ -39,6 +41,18 @@ def set_key(found: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype("i8")) if len(found) else None
 
 
+def packed_set(found: np.ndarray) -> bytes:
+    """The low WIDTH bytes of each hash, in order of what they are."""
+    low = np.unique(found & np.uint64((1 << 8 * WIDTH) - 1))
+    return np.ascontiguousarray(low.astype("<u8").view("u1").reshape(-1, 8)[:, :WIDTH]).tobytes()
+
+
+def unpacked_set(body: bytes) -> np.ndarray:
+    out = np.zeros((len(body) // WIDTH, 8), "u1")
+    out[:, :WIDTH] = np.frombuffer(body, "u1").reshape(-1, WIDTH)
+    return out.view("<u8").ravel()
+
+
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     """BANDS keys for each set, none of them empty."""
     flat = np.concatenate(sets)
@@ -103,7 +117,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets = [s for x in batch.column("text").to_pylist() if len(s := shingle_set(x or ""))]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["set", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([packed_set(s) for s in sets], pa.binary())], names=["set", "hashes"])
 
     return docs.select(docs["text"].cast("string")).mapInArrow(run, "set long, hashes binary")
 
@@ -111,14 +125,14 @@ def _sets(docs: DataFrame) -> DataFrame:
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "a"):
         told = zip(*(batch.column(c).to_pylist() for c in ("a", "b")), strict=True)
-        yield batch.select(["u", "v"]).filter(pa.array([similar(*(np.frombuffer(x, "u8") for x in row)) for row in told], pa.bool_()))
+        yield batch.select(["u", "v"]).filter(pa.array([similar(*map(unpacked_set, row)) for row in told], pa.bool_()))
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell (bucket, i, j) -> links."""
 
     def links(held: dict[int, bytes]) -> pa.RecordBatch:
-        u, v = forest(np.array(list(held), "i8"), [np.frombuffer(x, "u8") for x in held.values()])
+        u, v = forest(np.array(list(held), "i8"), [unpacked_set(x) for x in held.values()])
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     now, held = None, {}
@@ -139,10 +153,12 @@ def jaccard_links(docs: DataFrame, prints: DataFrame, cell: int = CELL) -> DataF
     ``prints``: what :func:`signed` tells of ``docs``.
     """
     sent = prints.where("set is not null").dropDuplicates(["set"]).select("set", F.explode("bands").alias("bucket"))
-    buckets = sent.groupBy("bucket").agg(F.min("set").alias("least"), F.max("set").alias("most"), F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(set))").alias("x"))
+    shared = sent.groupBy("bucket").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least < most")
+    met = cut(sent.join(shared, "bucket"))
     # buckets of the same members are one
-    buckets = buckets.where("least < most").groupBy("least", "most", "n", "x").agg(F.min("bucket").alias("bucket"))
-    members = cut(sent.join(buckets, "bucket").select("bucket", "n", "least", "set"))
+    told = met.groupBy("bucket", "least", "most").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(set))").alias("x"))
+    buckets = told.groupBy("least", "most", "n", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    members = cut(met.join(buckets, "bucket").select("bucket", "n", "least", "set"))
     wanted = members.select("set").distinct()
     ids = prints.join(wanted, "set", "left_semi").select(F.col("doc_id").alias("id_")).distinct()
     rows = docs.select("doc_id", "text").join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["id_"]), "left_semi")

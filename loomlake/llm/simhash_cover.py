@@ -196,10 +196,10 @@ def near_links(fps: DataFrame, cell: int = CELL) -> DataFrame:
         steps = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
         guests = dealt.select("anchor", "fp", F.lit(False).alias("home"), own.alias("j"), steps.alias("i"))
         homes = dealt.where("home").select("anchor", "fp", "home", own.alias("i"), steps.alias("j"))
-        cells = guests.unionByName(homes)
+        cells = guests.unionByName(homes).repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
     else:
-        cells = sent.withColumns({"i": F.lit(0), "j": F.lit(0)})
-    return cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j").mapInArrow(_compare, "u long, v long")
+        cells = sent.repartition("anchor").sortWithinPartitions("anchor").withColumns({"i": F.lit(0), "j": F.lit(0)})
+    return cells.mapInArrow(_compare, "u long, v long")
 
 
 def near_components(docs: DataFrame, cell: int = CELL) -> DataFrame:
