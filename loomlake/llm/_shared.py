@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -30,7 +31,7 @@ def shared_path(spark: SparkSession) -> str:
 
 
 #: Bytes of an Arrow batch between the JVM and Python; both sides hold some of them for each task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -62,6 +63,15 @@ def remove(spark: SparkSession, place: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task keeps little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        return
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 20, max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece holds at most ``max_bytes`` of ``column``, or one row if that row is longer."""
     for batch in batches:
@@ -74,6 +84,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
             total += size
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
 
 
 def fresh_names(taken: list[str], *wanted: str) -> list[str]:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import cut
+from ._shared import cut, give_back
 
 LINKS = "u long, v long"
 
@@ -38,6 +38,7 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = new
         own = root != np.arange(len(nodes))
         yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[root[own]])], names=["u", "v"])
+    give_back()
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -57,7 +58,8 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links``: u, v (long, not null, u <> v), in any order, repeats allowed. No links: an empty result.
     """
-    now = cut(links.where("u <> v").mapInArrow(forest, LINKS).where("u <> v").distinct())
+    links = cut(links.where("u <> v"))  # so that no task needs a Python worker for the links and one more for the forest
+    now = cut(links.mapInArrow(forest, LINKS).where("u <> v").distinct())
     seen = None
     while True:
         told = now.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()

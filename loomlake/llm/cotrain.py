@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import cut, documents, fresh_names, pieces, small_batches
+from ._shared import cut, documents, fresh_names, give_back, pieces, small_batches
 from .crf_toxicity import training_rows
 from .fertility import sums
 
@@ -50,7 +50,7 @@ LANGS, SOURCES, SIZES = 64, 4096, 64
 PAGE = LANGS + SOURCES + SIZES
 #: The slot of a token that repeats the one before it.
 REPEAT = 0
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: A document is kept from this probability of good quality on.
 KEEP = 0.3
 MARKS = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -265,6 +265,7 @@ def exchange_over(rows: DataFrame):
                     sizes = np.array([len(x) // 2 for x in columns[0]], "i8")
                     part = Bags(slot.astype("i8"), number.astype("i8"), sizes, shares.reshape(-1, len(CLASSES)).astype("f8"), page.reshape(-1, 3).astype("i8"))
                     total += np.concatenate(passed_on(shipped.value, part), axis=1)
+            give_back()
             at = np.flatnonzero(total.any(axis=0))
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], names=["slot", "poor", "good"])
 

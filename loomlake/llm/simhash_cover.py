@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import cut, documents, pieces
+from ._shared import cut, documents, give_back, pieces
 from .components import components
 
 THRESHOLD, SHINGLE, SEED = 3, 3, 42
@@ -113,6 +113,7 @@ def _to_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for half in (0, 1):
                 at, anchor, home = anchors(fp >> (32 * half) & 0x7FFFFFFF)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor | half << 31), pa.array(fp[at]), pa.array(home)], names=["anchor", "fp", "home"])
+    give_back()
 
 
 def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -182,6 +183,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append(now)
     if held:
         yield links(*(np.concatenate([h[k] for h in held]) for k in range(3)))
+    give_back()
 
 
 def near_links(fps: DataFrame, cell: int = CELL) -> DataFrame:
