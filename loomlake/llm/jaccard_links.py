@@ -154,7 +154,7 @@ def jaccard_links(docs: DataFrame, prints: DataFrame, cell: int = CELL) -> DataF
     """
     sent = prints.where("set is not null").dropDuplicates(["set"]).select("set", F.explode("bands").alias("bucket"))
     shared = sent.groupBy("bucket").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least < most")
-    met = cut(sent.join(shared, "bucket"))
+    met = sent.join(shared, "bucket")
     # buckets of the same members are one
     told = met.groupBy("bucket", "least", "most").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(set))").alias("x"))
     buckets = told.groupBy("least", "most", "n", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
