@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -54,9 +55,16 @@ def stored(df: DataFrame) -> DataFrame:
     small_batches(df.sparkSession)
     place = f"{shared_path(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(place)
+    tidy(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Have the session's cleaner take the shuffle files that no plan refers to any more: it waits for collections."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, place: str) -> None:
     """Delete a folder that this program has written, through the file system that Spark writes to."""
     path = spark._jvm.org.apache.hadoop.fs.Path(place)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import cut, pieces
+from ._shared import cut, pieces, tidy
 from .components import components
 from .simhash_cover import BROADCAST_ROWS, SEED, shingle_hashes
 
@@ -154,7 +154,7 @@ def jaccard_links(docs: DataFrame, prints: DataFrame, cell: int = CELL) -> DataF
     """
     sent = prints.where("set is not null").dropDuplicates(["set"]).select("set", F.explode("bands").alias("bucket"))
     shared = sent.groupBy("bucket").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least < most")
-    met = sent.join(shared, "bucket")
+    met = cut(sent.join(shared, "bucket"))
     # buckets of the same members are one
     told = met.groupBy("bucket", "least", "most").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(set))").alias("x"))
     buckets = told.groupBy("least", "most", "n", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
@@ -182,6 +182,7 @@ def keep_one(docs: DataFrame, cell: int = CELL) -> DataFrame:
     rows without a word stay."""
     prints = cut(signed(docs))
     roots = cut(components(jaccard_links(docs, prints, cell)).toDF("set", "root"))
+    tidy(docs.sparkSession)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     known = prints.where("set is not null").select("set", row.alias("row"))
     rooted = known.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
