@@ -14,8 +14,10 @@ whole: a pre-token is the longest thing that is held apart from the text itself.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,8 @@ from ._shared import documents, pieces, small_batches
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: White space as the White_Space property has it; the regex module's \s differs on U+001C to U+001F.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pre-tokens whose codes are remembered in a worker; beyond it the memory starts anew, the results are the same.
+#: Pre-tokens whose ids are remembered in a worker, in each of two generations: when one is full, the younger takes over what
+#: it meets again from the older. The results are the same whatever is remembered.
 REMEMBERED = 100_000
 
 
@@ -88,46 +91,54 @@ class ByteBpe:
         self.rank = {token: i for i, token in enumerate(ranked)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranked))
         self.split = regex.compile(pattern.replace(r"[^\s", rf"[^{WHITE}").replace(r"(?!\S)", rf"(?![^{WHITE}])").replace(r"\s", f"[{WHITE}]")).findall
-        letters = byte_letters()
-        self.to_letters = {b: letters[b] for b in range(256)}
-        back = {ord(c): b for b, c in enumerate(letters)}
-        self.token_bytes = [bytes(back[ord(c)] for c in self.model.id_to_piece(i)) for i in range(len(ranked))]
+        self.letters = "".join(byte_letters())
+        back = {c: b for b, c in enumerate(self.letters)}
+        self.token_bytes = [bytes(back[c] for c in self.model.id_to_piece(i)) for i in range(len(ranked))]
+        self.told = pa.array([b"%d," % i for i in range(len(ranked))], pa.large_binary())
+        self.meant = pa.array(self.token_bytes, pa.large_binary())
         self.codes: dict[str, bytes] = {}
-        self.names: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, found: set[str]) -> None:
-        """Have codes (int32, little-endian), their decimals and their decoded bytes ready for these pre-tokens."""
-        new = [x for x in found if x not in self.codes]
+        """Have the ids (int32) of these pre-tokens ready."""
+        new = found.difference(self.codes)
         if len(self.codes) + len(new) > REMEMBERED:
-            self.codes, self.names, self.decoded = {}, {}, {}
-            new = found
-        rest, raws = [], []
+            self.older, self.codes, new = self.codes, {}, found
+        rest, letters = [], []
         for piece in new:
-            raw = piece.encode()
-            if (rank := self.rank.get(raw)) is not None:
-                self._keep(piece, [rank])
-            else:
-                rest.append(piece)
-                raws.append(raw)
-        letters = [raw.decode("latin-1").translate(self.to_letters) for raw in raws]
+            if (code := self.older.get(piece)) is None:
+                raw = piece.encode()
+                if (rank := self.rank.get(raw)) is None:
+                    rest.append(piece)
+                    letters.append(codecs.charmap_decode(raw, "strict", self.letters)[0])
+                    continue
+                code = array("i", (rank,)).tobytes()
+            self.codes[piece] = code
         for piece, ids in zip(rest, self.model.encode(letters, out_type=int, num_threads=1) if rest else (), strict=True):
-            self._keep(piece, ids)
+            self.codes[piece] = array("i", ids).tobytes()
 
-    def _keep(self, piece: str, ids: list[int]) -> None:
-        self.codes[piece] = np.array(ids, "<i4").tobytes()
-        self.names[piece] = ",".join(map(str, ids))
-        self.decoded[piece] = b"".join(map(self.token_bytes.__getitem__, ids))
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin (and the last one's end)."""
+        found = [self.split(x) for x in texts]
+        self.learn(set().union(*found))
+        codes = [b"".join(map(self.codes.__getitem__, x)) for x in found]
+        return np.frombuffer(b"".join(codes), "i4"), np.cumsum([0, *(len(x) // 4 for x in codes)])
 
     def encode(self, text: str) -> list[int]:
-        found = self.split(text)
-        self.learn(set(found))
-        return np.frombuffer(b"".join(map(self.codes.__getitem__, found)), "<i4").tolist()
+        return self.ids([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
 
+def strung(rows: pa.LargeBinaryArray, ids: np.ndarray, starts: np.ndarray) -> list[memoryview]:
+    """For each text the rows of its ids, put together."""
+    taken = rows.take(pa.array(ids))
+    ends = np.frombuffer(taken.buffers()[1], "i8")[starts] if len(ids) else starts
+    body = memoryview(taken.buffers()[2] or b"").cast("B")
+    return [body[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 _made: dict[bytes, ByteBpe] = {}
 
 
@@ -165,12 +176,10 @@ def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared_encoder(ranks.value, pattern)
         for batch in pieces(batches):
-            found = [bpe.split(x or "") for x in batch.column("text").to_pylist()]
-            bpe.learn(set().union(*found))
-            code, name, raw = bpe.codes.__getitem__, bpe.names.__getitem__, bpe.decoded.__getitem__
-            rows = [(sum(map(len, map(code, x))) // 4, hashlib.sha256(",".join(map(name, x)).encode()).hexdigest(), hashlib.sha256(b"".join(map(raw, x))).hexdigest()) for x in found]
-            n, ids, decoded = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)], names=DIGESTS.names)
+            ids, starts = bpe.ids([x or "" for x in batch.column("text").to_pylist()])
+            told = [hashlib.sha256(x[:-1]).hexdigest() for x in strung(bpe.told, ids, starts)]  # without the last comma
+            decoded = [hashlib.sha256(x).hexdigest() for x in strung(bpe.meant, ids, starts)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(starts)), pa.array(told), pa.array(decoded)], names=DIGESTS.names)
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, DIGESTS)
 
@@ -191,13 +200,10 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
         bpe = shared_encoder(ranks.value, pattern)
         for batch in pieces(batches):
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            found = [bpe.split(x) for x in texts]
-            bpe.learn(set().union(*found))
-            ids = [np.frombuffer(b"".join(map(bpe.codes.__getitem__, x)), "<i4") for x in found]
-            same = [b"".join(map(bpe.decoded.__getitem__, x)) == t.encode() for x, t in zip(found, texts, strict=True)]
-            lengths = np.array([len(x) for x in ids], "i8")
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("i4")), pa.array(np.concatenate(ids).astype("i4")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists, pa.array(lengths), pa.array(same)], names=schema.names)
+            ids, starts = bpe.ids(texts)
+            same = [x == t.encode() for x, t in zip(strung(bpe.meant, ids, starts), texts, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(starts.astype("i4")), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists, pa.array(np.diff(starts)), pa.array(same)], names=schema.names)
 
     return docs.select(*(docs[f"`{c}`"] for c in kept), docs["text"].cast("string")).mapInArrow(run, schema)
 
