@@ -4,16 +4,20 @@ Documents travel in compressed blocks. Every window of LENGTH bytes has an ancho
 ties, so equal windows have equal anchors, wherever they stand. Step 1 finds the anchors that two documents or more
 have; windows at other anchors cannot repeat. Step 2 sends the stretches of text around shared anchors, equal stretches
 of a block once, to the shard of their anchor; so all windows that could be equal meet in one shard. Each shard sorts
-the suffixes of its stretches by external induced sorting (:mod:`.induced_sort`); suffixes whose common prefix is
-LENGTH or more share a window, and the smallest doc_id among them is known. Step 3 brings the spans back to the blocks,
+the suffixes of its stretches by external induced sorting (:mod:`.induced_sort`), but for stretches that have their
+anchor to themselves; suffixes whose common prefix is LENGTH or more share a window, and the smallest doc_id among them
+is known. Step 3 brings the spans back to the blocks,
 and the bytes go. Nothing is decided by hashes alone: they only choose where exact comparisons take place.
 
 A shard streams through its task: its rows go to a scratch file, and what is held is its distinct stretches. A shard with
 more than MEMORY bytes of them is cut on disk into parts that are sorted one after the other: first by anchor, so that
 equal windows stay together; where one anchor alone has too much (a passage in a third of all documents has different
-edges in each), by the hash of whole windows, again and again until a part fits. So a task's memory does not depend on
-the shard's size or on hot anchors. Other things held in one task: a block, and the shared anchors of one hash bucket,
-6 bytes for each block that has them.
+edges in each), by anchors of other hashes, which the edges' own k-mers share; where RECUTS of them do not help (windows
+may have all k-mers in common), by the hash of whole windows, again and again until a part fits. So a task's memory does
+not depend on the shard's size or on hot anchors. Blocks times shards grow faster than the text, and what one block sends
+to one shard shrinks, so a shard's rows are put together before anything is done to them, its parts hold such pieces, and
+their spans go back once for each block. Other things held in one task: a block, and the shared anchors of one hash
+bucket, 6 bytes for each block that has them.
 
 Defined results: null text is empty; a null doc_id counts as larger than all others, and null ids are no larger than
 each other; rows that repeat an id are one document and remove nothing from each other; documents shorter than LENGTH
@@ -25,7 +29,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +43,11 @@ from ._shared import cut, documents, pieces
 from .induced_sort import suffix_order
 
 LENGTH, KMER = 50, 20
-BLOCK, SEGMENT = 2 << 20, 1 << 18
+BLOCK, SEGMENT = 4 << 20, 1 << 18
 #: Bytes of distinct stretches that are sorted at once; the sort takes some 40 times as much.
 MEMORY = 4 << 20
+#: Parts that a shard is cut into at once, each a scratch file; cuts by anchors; bytes of spans that are held.
+PARTS, RECUTS, SPANS = 64, 8, 8 << 20
 NO_ID = (1 << 63) - 1
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -91,9 +97,11 @@ def blocks(docs: DataFrame) -> DataFrame:
     return cut(docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, schema))
 
 
-def windows(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first place in the block, windows, anchor hash) of each run of windows with one anchor."""
+def windows(text: np.ndarray, sizes: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first place in the block, windows, anchor hash) of each run of windows with one anchor, in the text's
+    order. Another ``seed``, other hashes: a window's anchor is then any of its k-mers."""
     ends = np.cumsum(sizes)
+    last = np.uint64((int(_ODD[3]) + 2 * seed * int(_ODD[0])) % (1 << 64))
     out = []
     low = np.uint64((1 << 24) - 1)
     for start in range(0, len(text) - LENGTH + 1, SEGMENT):
@@ -102,7 +110,7 @@ def windows(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
         word = np.ndarray((n,), "<u8", part.tobytes(), strides=(1,)).copy()
         mixed = word[: n - KMER + 8] * _ODD[0] + word[8 : n - KMER + 16] * _ODD[1] + word[KMER - 8 :] * _ODD[2]
         mixed ^= mixed >> np.uint64(32)
-        mixed *= _ODD[3]
+        mixed *= last
         mixed ^= mixed >> np.uint64(29)
         least = (mixed & ~low) | np.arange(len(mixed), dtype="u8")
         span, width = LENGTH - KMER + 1, 1
@@ -252,25 +260,55 @@ def _occurrences(body: bytes) -> tuple[np.ndarray, ...]:
     return np.cumsum(which, dtype="i8"), own[at], total - before, ids[at], sizes, raw
 
 
-Record = tuple[int, tuple[np.ndarray, ...]]  # a block and its occurrences, as _occurrences tells them
+#: The block, or the block of each occurrence, and the occurrences as _occurrences tells them.
+Record = tuple[int | np.ndarray, tuple[np.ndarray, ...]]
 
 
 class Spool:
-    """Records of (block, body) in a scratch file of the task, unnamed, read from the start as often as wanted."""
+    """Records in a scratch file of the task, unnamed, read from the start as often as wanted."""
 
     def __init__(self):
-        self.file, self.ends, self.blocks = tempfile.TemporaryFile(), [0], []
+        self.file, self.ends, self.blocks, self.read = tempfile.TemporaryFile(), [0], [], 0
 
-    def add(self, block: int, body: bytes) -> None:
+    def add(self, block: int | None, body: bytes) -> None:
+        """A record of one block, packed by _told; without a block, a piece packed by add_piece."""
         self.file.seek(self.ends[-1])
         self.file.write(body)
         self.blocks.append(block)
         self.ends.append(self.ends[-1] + len(body))
 
+    def add_piece(self, block: np.ndarray, which: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, texts: list[bytes]) -> None:
+        sizes = np.fromiter(map(len, texts), "u4", len(texts))
+        self.add(None, _pack(block.astype("i8"), which.astype("i4"), doc.astype("u4"), place.astype("i8"), ids.astype("i8"), sizes, b"".join(texts)))
+
     def __iter__(self) -> Iterator[Record]:
         for i, block in enumerate(self.blocks):
             self.file.seek(self.ends[i])
-            yield block, _occurrences(self.file.read(self.ends[i + 1] - self.ends[i]))
+            body, self.read = self.file.read(self.ends[i + 1] - self.ends[i]), self.ends[i + 1]
+            if block is not None:
+                yield block, _occurrences(body)
+            else:
+                blocks, *told = _unpack(body, "i8", "i4", "u4", "i8", "i8", "u4", "u1")
+                yield blocks, tuple(told)
+
+
+def _pieces(records: Iterable[Record], size: int) -> Iterator[Record]:
+    """The records put together to some ``size`` bytes: what is done to a piece is worth its while."""
+
+    def joined() -> Record:
+        shift = np.cumsum([0, *(len(told[4]) for _, told in held)])
+        which = np.concatenate([told[0] + k for (_, told), k in zip(held, shift.tolist(), strict=False)])
+        return np.concatenate([np.broadcast_to(block, len(told[0])) for block, told in held]), (which, *(np.concatenate([told[k] for _, told in held]) for k in range(1, 6)))
+
+    held, total = [], 0
+    for block, told in records:
+        held.append((block, told))
+        total += len(told[5]) + 8 * len(told[0])
+        if total >= size:
+            yield joined()
+            held, total = [], 0
+    if held:
+        yield joined()
 
 
 def _told(which: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray, texts: list[bytes]) -> bytes:
@@ -289,43 +327,52 @@ def _cut_texts(sizes: np.ndarray, raw: np.ndarray) -> list[bytes]:
     return [body[b - n : b] for n, b in zip(sizes.tolist(), ends, strict=True)]
 
 
-def _cut_shard(records: Spool, parts: int, level: int) -> list[Spool]:
-    """The records in parts that share no window: by anchor at level 1, else by windows, each a stretch of its own."""
+def _places(counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, first[row], first[row] + 1, ...): counts[row] numbers for each row."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) + np.repeat(first - np.cumsum(counts) + counts, counts)
+
+
+def _cut_shard(records: Iterable[Record], parts: int, level: int) -> list[Spool]:
+    """The records in parts that share no window: by anchor at level 1, by anchors of another hash at each level after
+    it, by whole windows after RECUTS levels. A stretch becomes a stretch for each of its anchors, or for each window."""
     out = [Spool() for _ in range(parts)]
     for block, (which, doc, place, ids, sizes, raw) in records:
-        if level == 1:
-            found, _, _, anchor = windows(raw, sizes.astype("i8"))
-            part_of = np.zeros(len(sizes), "i8")
-            part_of[found] = (anchor * _ODD[3] >> np.uint64(32)).astype("i8") % parts
-            texts = _cut_texts(sizes, raw)
+        sizes, body = sizes.astype("i8"), raw.tobytes()
+        starts = np.cumsum(sizes) - sizes
+        if level <= RECUTS:
+            of, at, count, anchor = windows(raw, sizes, level - 1)
         else:
-            counts = sizes.astype("i8")[which] - LENGTH + 1
-            row = np.repeat(np.arange(len(which)), counts)
-            step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            at = ((np.cumsum(sizes.astype("i8")) - sizes)[which])[row] + step
-            body, names = raw.tobytes(), {}
-            which = np.array([names.setdefault(body[p : p + LENGTH], len(names)) for p in at.tolist()], "i8")
-            doc, place, ids, texts = doc[row], place[row] + step, ids[row], list(names)
-            order = np.lexsort((place, doc))
-            which, doc, place, ids = which[order], doc[order], place[order], ids[order]
-            seed = bytes([level % 256])
-            part_of = np.array([int.from_bytes(hashlib.blake2b(x, digest_size=7, key=seed).digest(), "little") % parts for x in texts], "i8")
-        for part in np.unique(part_of[which]).tolist():
-            own = np.flatnonzero(part_of[which] == part)
-            used, at = np.unique(which[own], return_inverse=True)
-            out[part].add(block, _told(at, doc[own], place[own], ids[own], [texts[i] for i in used.tolist()]))
+            of, at = _places(sizes - LENGTH + 1, starts)
+            count = np.ones(len(of), "i8")
+            seed = level.to_bytes(8, "little")
+            anchor = np.array([int.from_bytes(hashlib.blake2b(body[p : p + LENGTH], digest_size=8, key=seed).digest(), "little") for p in at.tolist()], "u8")
+        names: dict[bytes, int] = {}
+        name = np.array([names.setdefault(body[a:b], len(names)) for a, b in zip(at.tolist(), (at + count + LENGTH - 1).tolist(), strict=True)], "i8")
+        texts = list(names)
+        runs = np.bincount(of, minlength=len(sizes))
+        row, run = _places(runs[which], (np.cumsum(runs) - runs)[which])
+        far = (at - starts[of])[run]
+        part_of = ((anchor * _ODD[3] >> np.uint64(32)).astype("i8") % parts)[run]
+        order = np.argsort(part_of, kind="stable")
+        cuts = np.searchsorted(part_of[order], np.arange(parts + 1)).tolist()
+        for part, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if a < b:
+                own = order[a:b]
+                used, new = np.unique(name[run[own]], return_inverse=True)
+                own, far_ = row[own], far[own]
+                out[part].add_piece(block[own], new, doc[own], place[own] + far_, ids[own], [texts[i] for i in used.tolist()])
     return out
 
 
-def _distinct(records: Iterator[Record], memory: int) -> tuple[dict[bytes, int], np.ndarray, int]:
-    """(distinct stretches, least doc_id of each, bytes of all); the first is empty if it came to more than ``memory``."""
-    found: dict[bytes, int] | None = {}
+def _distinct(records: Spool, memory: int) -> tuple[dict[bytes, int], np.ndarray, int]:
+    """(distinct stretches, least doc_id of each, 0), or if they come to more than ``memory`` bytes, (none, none, about
+    the bytes of all records)."""
+    found: dict[bytes, int] = {}
     least = np.full(1 << 10, NO_ID)
     held = total = 0
-    for _, (which, _, _, ids, sizes, raw) in records:
+    for _, (which, _, _, ids, sizes, raw) in _pieces(records, memory // 4):
         total += len(raw)
-        if found is None:
-            continue
         names = np.empty(len(sizes), "i8")
         for i, text in enumerate(_cut_texts(sizes, raw)):
             before = len(found)
@@ -335,42 +382,76 @@ def _distinct(records: Iterator[Record], memory: int) -> tuple[dict[bytes, int],
             least = np.concatenate([least, np.full(len(least), NO_ID)])
         np.minimum.at(least, names[which], ids)
         if held > memory and len(found) > 1:
-            found = None
-    return found or {}, least[: len(found or {})], total
+            return {}, least[:0], -(-total * records.ends[-1] // records.read)
+    return found, least[: len(found)], 0
 
 
-def shard_spans(records: Spool, memory: int = MEMORY, level: int = 0) -> Iterator[tuple[int, bytes]]:
-    """(block, packed (document, start, end) to remove) for the records of a shard, some ``memory`` bytes sorted at once."""
-    found, owner, total = _distinct(iter(records), memory)
-    if not found and total:
-        for part in _cut_shard(records, max(2, -(-2 * total // memory)) if level < 64 else 2, level + 1):
-            yield from shard_spans(part, memory, level + 1)
+def _met(texts: list[bytes], seed: int) -> np.ndarray:
+    """The texts that have an anchor in common with another one: only their windows can stand in another one too."""
+    of, _, _, anchor = windows(np.frombuffer(b"".join(texts), "u1"), np.fromiter(map(len, texts), "i8", len(texts)), seed)
+    order = np.argsort(anchor, kind="stable")
+    anchor, of = anchor[order], of[order]
+    first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    last = np.concatenate([first[1:], [len(anchor)]]) - 1
+    return np.unique(of[np.repeat(of[first] != of[last], last - first + 1)])
+
+
+def _removals(records: Spool, memory: int, level: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(block, document, start, end) to remove, some at a time."""
+    found, owner, total = _distinct(records, memory)
+    if total:
+        parts = _cut_shard(_pieces(records, memory // 4), min(PARTS, max(2, -(-2 * total // memory))), level + 1)
+        while parts:
+            yield from _removals(parts.pop(), memory, level + 1)
         return
     if not found:
         return
     texts = list(found)
-    least, starts = first_owners(texts, owner)
     lengths = np.fromiter(map(len, texts), "i8", len(texts))
     n_windows = lengths - LENGTH + 1
-    bounds = np.stack([starts, starts + n_windows], axis=1).ravel()
-    low, high = np.minimum.reduceat(least, bounds)[::2], np.maximum.reduceat(least, bounds)[::2]
-    for block, (which, doc, place, ids, sizes, raw) in records:
+    low, high, starts = owner.copy(), owner.copy(), np.zeros(len(texts), "i8")
+    met = _met(texts, max(0, min(level, RECUTS) - 1))
+    if len(met):
+        least, starts[met] = first_owners([texts[i] for i in met.tolist()], owner[met])
+        bounds = np.stack([starts[met], starts[met] + n_windows[met]], axis=1).ravel()
+        low[met], high[met] = np.minimum.reduceat(least, bounds)[::2], np.maximum.reduceat(least, bounds)[::2]
+    for block, (which, doc, place, ids, sizes, raw) in _pieces(records, memory // 4):
         w = np.array([found[x] for x in _cut_texts(sizes, raw)], "i8")[which]
         all_ = high[w] < ids
         some = np.flatnonzero(~all_ & (low[w] < ids))
-        parts = [(doc[all_], place[all_], place[all_] + lengths[w[all_]])]
+        parts = [(block[all_], doc[all_], place[all_], place[all_] + lengths[w[all_]])]
         if len(some):
-            n = n_windows[w[some]]
-            row = np.repeat(some, n)
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            row, step = _places(n_windows[w[some]], np.zeros(len(some), "i8"))
+            row = some[row]
             gone = least[starts[w[row]] + step] < ids[row]
             row, step = row[gone], step[gone]
             first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (step[1:] != step[:-1] + 1)])) if len(row) else np.zeros(0, "i8")
             last = np.concatenate([first[1:], [len(row)]]).astype("i8") - 1
-            parts.append((doc[row[first]], place[row[first]] + step[first], place[row[first]] + step[last] + LENGTH))
-        d, s, e = (np.concatenate(x) for x in zip(*parts, strict=True))
-        if len(d):
-            yield block, _pack(d.astype("u4"), s, e)
+            parts.append((block[row[first]], doc[row[first]], place[row[first]] + step[first], place[row[first]] + step[last] + LENGTH))
+        yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def shard_spans(records: Spool, memory: int = MEMORY) -> Iterator[tuple[int, bytes]]:
+    """(block, packed (document, start, end) to remove) for the records of a shard, some ``memory`` bytes sorted at once;
+    a block comes once, or again after each SPANS bytes."""
+
+    def gathered() -> Iterator[tuple[int, bytes]]:
+        block, doc, start, end = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(block, kind="stable")
+        block, doc, start, end = block[order], doc[order].astype("u4"), start[order], end[order]
+        cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])).tolist() if len(block) else []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield int(block[a]), _pack(doc[a:b], start[a:b], end[a:b])
+
+    held, size = [], 0
+    for some in _removals(records, memory, 0):
+        held.append(some)
+        size += sum(x.nbytes for x in some)
+        if size > SPANS:
+            yield from gathered()
+            held, size = [], 0
+    if held:
+        yield from gathered()
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,8 +516,8 @@ def dedup_bytes(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes of every row of ``docs``."""
     held = blocks(docs)
     n = max(1, held.count())
-    bits = int(np.ceil(np.log2(max(512, 32 * n**0.5))))
-    shards = int(max(64, 8 * n**0.5))
+    bits = int(np.ceil(np.log2(max(512, 16 * n**0.5))))
+    shards = int(max(64, 11 * n**0.5))
     anchors = held.mapInArrow(_bucketed(bits), "bucket int, block long, body binary")
     shared = anchors.groupBy("bucket").applyInArrow(_shared, "block long, bucket int, body binary")
     by_block = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "body")).alias("told"))

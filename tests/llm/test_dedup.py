@@ -316,6 +316,69 @@ def test_memory_does_not_follow_the_shard():
     assert peaks[1] < 1.5 * peaks[0]  # four times the shard, at a limit that is a small part of it
 
 
+def shard_of(made, per):
+    """The records of one shard that holds all anchors, ``per`` documents a block, and the blocks' texts."""
+    records, blocks = suffix_dedup.Spool(), []
+    for number in range(0, len(made), per):
+        own = made[number : number + per]
+        raw, sizes = b"".join(r[1].encode() for r in own), np.array([len(r[1].encode()) for r in own])
+        doc, place, count, _ = suffix_dedup.windows(np.frombuffer(raw, "u1"), sizes)
+        names = {}
+        which = np.array([names.setdefault(raw[p : p + n + suffix_dedup.LENGTH - 1], len(names)) for p, n in zip(place.tolist(), count.tolist(), strict=True)])
+        ids = np.array([r[0] for r in own])
+        records.add(number // per, suffix_dedup._told(which, doc, place - (np.cumsum(sizes) - sizes)[doc], ids[doc], list(names)))
+        blocks.append((np.frombuffer(raw, "u1"), sizes, []))
+    return records, blocks
+
+
+def lost_by(blocks, spans):
+    for number, body in spans:
+        blocks[number][2].append(body)
+    return [int(x.sum()) for text, sizes, told in blocks for x in np.split(suffix_dedup.removed(text, sizes, told), np.cumsum(sizes)[:-1])]
+
+
+def test_small_records_are_put_together(monkeypatch):
+    """Many blocks, each with little for the shard: neither the parts' records nor the spans are blocks times parts."""
+    warm = [words(400 + i, 14) for i in range(30)]
+    made = [document(i, words(5000 + i, 8) + warm[i % 30] + words(6000 + i, 4)) for i in range(300)]
+    records, blocks = shard_of(made, 2)
+    added, add = [], suffix_dedup.Spool.add
+    monkeypatch.setattr(suffix_dedup.Spool, "add", lambda self, block, body: added.append(len(body)) or add(self, block, body))
+    spans = list(suffix_dedup.shard_spans(records, 24_000))
+    assert lost_by(blocks, spans) == [n for _, _, n, _, _ in brute_bytes(made)]
+    assert 2 < len(added) < 5 * len(blocks) and len(spans) == len({number for number, _ in spans})
+
+
+def test_hot_anchors_are_cut_by_other_hashes(monkeypatch):
+    """A passage too short for a window of its own, in every document: cut apart without writing all its windows."""
+    hot = words(51, 30)[:36]
+    made = [document(i, words(7000 + i, 8) + hot + words(8000 + i % 40, 8)) for i in range(400)]
+    records, blocks = shard_of(made, 20)
+    read, written, cut = {}, {}, suffix_dedup._cut_shard
+
+    def told(r, n, level):
+        r = list(r)
+        parts = cut(r, n, level)
+        for size, of in ((read, [r]), (written, parts)):
+            size[level] = size.get(level, 0) + sum(len(raw) for part in of for _, (*_, raw) in part)
+        return parts
+
+    monkeypatch.setattr(suffix_dedup, "_cut_shard", told)
+    assert lost_by(blocks, suffix_dedup.shard_spans(records, 8000)) == [n for _, _, n, _, _ in brute_bytes(made)]
+    assert read[2] and written[2] < 4 * read[2]
+
+
+@pytest.mark.parametrize("memory", [60, 200])
+def test_windows_of_the_same_kmers_are_cut(monkeypatch, memory):
+    """Windows of one period have all k-mers in common, so that no choice of anchors tells them apart."""
+    made = [document(i, ("abcdefghijklm" * 9)[i % 13 :] + words(i, 3)) for i in range(8)]
+    records, blocks = shard_of(made, 2)
+    levels, cut = [], suffix_dedup._cut_shard
+    monkeypatch.setattr(suffix_dedup, "_cut_shard", lambda r, n, level: levels.append(level) or cut(r, n, level))
+    assert lost_by(blocks, suffix_dedup.shard_spans(records, memory)) == [n for _, _, n, _, _ in brute_bytes(made)]
+    assert max(levels) > suffix_dedup.RECUTS
+
+
 def test_anchors_spread_evenly():
     text = np.frombuffer(words(13, 60_000).encode(), "u1")
     anchor = np.unique(suffix_dedup.windows(text, np.array([len(text)]))[3])
